@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 # Fixed values of the stand-in derivation (they must be equal on both sides).
 N_CHATS = 40
+FORWARD_EVERY = 11
+FORWARD_CHAT_STEP = 7
+FORWARD_MSG_STEP = 3
 NULL_TEXT_EVERY = 17
 HEBREW_GREETING = "שלום"
 ARABIC_GREETING = "سلام"
@@ -67,6 +70,10 @@ class Fixture:
              .otherwise(F.col("message_id") - 1 - (F.col("k") % 5)).alias("reply_to_message_id"),
             F.floor("value").cast("int").alias("views"),
             (F.col("k") % 7).alias("forwards"),
+            F.when(F.col("k") % FORWARD_EVERY == 0, (F.col("chat_id") + FORWARD_CHAT_STEP) % N_CHATS
+                   ).alias("forward_from_chat_id"),
+            F.when(F.col("k") % FORWARD_EVERY == 0, F.col("message_id") - FORWARD_MSG_STEP
+                   ).alias("forward_from_message_id"),
         )
 
     @cached_property
@@ -146,7 +153,9 @@ SQL_VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
   case when r.event_id % 17 = 0 then null else (case r.chat_id % 4 when 1 then 'שלום '
     when 2 then 'سلام ' else '' end) || d.text end as text,
   case when k % 3 = 0 then null else message_id-1-(k % 5) end reply_to_message_id,
-  cast(floor(value) as int) views, k % 7 as forwards
+  cast(floor(value) as int) views, k % 7 as forwards,
+  case when k % 11 = 0 then (chat_id + 7) % 40 end forward_from_chat_id,
+  case when k % 11 = 0 then message_id - 3 end forward_from_message_id
   from raw r left join documents d on d.doc_id = r.doc_key"""),
     "users": ((), """select c_custkey sender_id, c_name first_name,
   case when c_custkey % 2 = 0 then c_mktsegment end last_name,
@@ -166,7 +175,7 @@ SQL_VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def sql_with(views: list[str] | tuple[str, ...], body: str, extra: str = "") -> str:
+def sql_with(views: list[str] | tuple[str, ...], body: str, extra: str = "", recursive: bool = False) -> str:
     """`with <views and deps>[, extra ctes] <body>` in DuckDB dialect."""
     order: list[str] = []
 
@@ -183,4 +192,4 @@ def sql_with(views: list[str] | tuple[str, ...], body: str, extra: str = "") ->
         ctes.append(extra)
     if not ctes:
         return body
-    return "with " + ",\n".join(ctes) + "\n" + body
+    return ("with recursive " if recursive else "with ") + ",\n".join(ctes) + "\n" + body

@@ -80,7 +80,7 @@ for _n in (2, 3, 4, 5):
 
 def _join_n_sql() -> str:
     syms = SYMBOLS[:4]
-    extra = ",\n".join(_daily_sql(s, "1m", f"s{i + 1}") for i, s in enumerate(syms))
+    extra = ",\n".join(_daily_sql(s, None, f"s{i + 1}") for i, s in enumerate(syms))
     cols = ", ".join(f"'{s}' as symbol{i + 1}, {r4(f's{i + 1}.price')} as price{i + 1}" for i, s in enumerate(syms))
     joins = " ".join(f"join s{i + 1} on s{i + 1}.date = s1.date" for i in range(1, len(syms)))
     return sql_with(["stocks"], f"select s1.date, {cols} from s1 {joins}", extra=extra)
@@ -89,7 +89,7 @@ def _join_n_sql() -> str:
 @register("join_stock_n", _join_n_sql())
 def q_join_stock_n(spark, sf_dir):
     syms = SYMBOLS[:4]
-    r = bars.join_symbols(fixture(spark, sf_dir).stocks, syms, "1m")
+    r = bars.join_symbols(fixture(spark, sf_dir).stocks, syms)
     cols = [F.col("date")]
     for i in range(1, len(syms) + 1):
         cols += [F.col(f"symbol{i}"), round4(f"price{i}").alias(f"price{i}")]
