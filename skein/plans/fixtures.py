@@ -128,6 +128,12 @@ class Fixture:
         return r.groupBy("chat_id", "message_id", F.col("event_type").alias("reaction")).agg(
             F.sum("k").cast("int").alias("votes_abs"))
 
+    @cached_property
+    def polls(self) -> DataFrame:
+        """Poll stand-in: one option per event, event_type as its text, floor(value) votes."""
+        return self.raw.select("chat_id", "message_id", F.col("event_type").alias("poll_option_text"),
+                               F.floor("value").cast("int").alias("votes_abs"))
+
     @cached_property
     def embeddings(self) -> DataFrame:
         return self.table("embeddings")
