@@ -13,6 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the stand-in derivation (they must be equal on both sides).
 N_CHATS = 40
@@ -128,6 +129,75 @@ class Fixture:
         return r.groupBy("chat_id", "message_id", F.col("event_type").alias("reaction")).agg(
             F.sum("k").cast("int").alias("votes_abs"))
 
+    @cached_property
+    def raw_docs(self) -> DataFrame:
+        """Raw message documents (schema `RAW_MESSAGE`) derived from events and documents."""
+        from .. import schemas
+        docs = self.table("documents")
+        n_docs = docs.select(F.count(F.lit(1))).scalar()
+        r = self.raw.withColumn("doc_key", F.col("event_id") % n_docs).join(
+            docs.select(F.col("doc_id").alias("doc_key"), F.col("text").alias("doc_text")), "doc_key", "left")
+        k, uid, cid, mid, et = F.col("k"), F.col("user_id"), F.col("chat_id"), F.col("message_id"), F.col("event_type")
+        title_prefix = F.coalesce(_chat_prefix(cid, "").when(cid % 4 == 3, F.lit("news")), F.lit(""))
+        s = lambda: F.lit(None).cast("string")
+        b = lambda: F.lit(None).cast("boolean")
+        chat = F.when(F.col("event_id") % 97 != 0, F.struct(
+            cid.alias("id"),
+            F.when(cid % 3 == 0, "CHANNEL").when(cid % 3 == 1, "SUPERGROUP").otherwise("GROUP").alias("type"),
+            F.concat(title_prefix, F.lit(" "), cid.cast("string")).alias("title"),
+            s().alias("first_name"), s().alias("last_name"),
+            F.when(cid % 2 == 0, F.concat(F.lit("chat"), cid.cast("string"))).alias("username"),
+            s().alias("invite_link"),
+            F.when(k % 6 != 0, (cid * 10 + k % 3).cast("int")).alias("members_count"),
+            b().alias("is_verified"), b().alias("is_restricted"),
+            (cid % 7 == 0).alias("is_scam"),
+            F.when(cid % 5 == 0, F.lit(True)).alias("is_fake"),
+            b().alias("is_support"), s().alias("phone_number"),
+            F.when(cid % 2 == 0, F.struct((cid + 100).alias("id"))).alias("linked_chat")))
+        user = F.when(uid % 5 != 0, F.struct(
+            uid.alias("id"), F.concat(F.lit("U"), uid.cast("string")).alias("first_name"),
+            F.when(uid % 2 == 0, F.concat(F.lit("L"), uid.cast("string"))).alias("last_name"),
+            F.when(k % 2 == 0, F.concat(F.lit("user"), uid.cast("string"))).alias("username"),
+            s().alias("phone_number"), b().alias("is_verified"), b().alias("is_restricted"), b().alias("is_scam"),
+            b().alias("is_fake"), b().alias("is_support"), (uid % 11 == 0).alias("is_bot")))
+        rx = lambda e, c, n: F.struct(F.lit(e).cast("string").alias("emoji"), c.cast("bigint").alias("custom_emoji_id"),
+                                      n.cast("int").alias("count"))
+        reactions = (F.when(et == "click", F.struct(F.array(
+            rx("👍", F.lit(None), k), rx(None, F.lit(5000000000) + k % 3, F.lit(2)), rx("👍", F.lit(None), F.lit(1))
+        ).alias("reactions")))
+            .when(et == "view", F.struct(F.array().cast(T.ArrayType(schemas.REACTION_ITEM)).alias("reactions")))
+            .when(et == "purchase", F.struct(F.array(rx("🔥", F.lit(None), k % 4)).alias("reactions"))))
+        opt = lambda t, n: F.struct(F.lit(t).alias("text"), n.cast("int").alias("voter_count"))
+        poll = F.when(et == "signup", F.struct(
+            F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("poll "), mid.cast("string"))).alias("question"),
+            F.when(k % 2 == 0, F.array(opt("yes", k), opt("no", k % 3), opt("yes", F.lit(1))))
+             .otherwise(F.array().cast(T.ArrayType(schemas.POLL_OPTION))).alias("options")))
+        f = lambda p_: F.struct(F.concat(F.lit(p_ + "f"), mid.cast("string")).alias("file_id"),
+                                F.concat(F.lit(p_ + "u"), mid.cast("string")).alias("file_unique_id"))
+        media = {"photo": (k % 9 == 0) | (k % 9 == 1), "document": k % 9 == 1, "video": k % 9 == 2,
+                 "voice": k % 9 == 3}
+        cols = {
+            "id": F.when(F.col("event_id") % 89 != 0, mid),
+            "outgoing": k % 13 == 0,
+            "date": F.col("ts"),
+            "text": F.when(k % 4 == 0, s()).when(k % 4 == 1, F.lit("")).otherwise(F.col("doc_text")),
+            "caption": F.when((k % 4 < 2) & (uid % 2 == 0), F.concat(F.lit("cap "), mid.cast("string"))),
+            "views": F.floor("value").cast("int"),
+            "forwards": F.when(k % 13 == 5, F.lit(None).cast("int")).otherwise(k % 7),
+            "chat": chat, "from_user": user,
+            "sender_chat": F.when(uid % 5 == 0, F.struct((-1000 - cid).alias("id"))),
+            "forward_from": F.when(k % 11 == 1, F.struct(uid.alias("id"))),
+            "forward_from_chat": F.when(k % 11 == 0, F.struct(((cid + 7) % N_CHATS).alias("id"))),
+            "forward_from_message_id": F.when(k % 11 <= 1, mid - 3),
+            "reply_to_message_id": F.when(k % 3 == 0, F.lit(None).cast("bigint")).otherwise(mid - 1 - (k % 5)),
+            "reactions": reactions, "poll": poll,
+        }
+        for m in schemas.MEDIA_KINDS:
+            cols[m] = F.when(media[m], f(m[:2])) if m in media else F.lit(None).cast(schemas.FILE)
+        out = r.select(*[cols[fl.name].cast(fl.dataType).alias(fl.name) for fl in schemas.RAW_MESSAGE.fields],
+                       F.col("event_id").alias("_arrival"))
+        return out
+
     @cached_property
     def polls(self) -> DataFrame:
         """Poll stand-in: one option per event, event_type as its text, floor(value) votes."""
@@ -162,6 +232,56 @@ SQL_VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
   cast(floor(value) as int) views, k % 7 as forwards,
   case when k % 11 = 0 then (chat_id + 7) % 40 end forward_from_chat_id,
   case when k % 11 = 0 then message_id - 3 end forward_from_message_id
+  from raw r left join documents d on d.doc_id = r.doc_key"""),
+    "raw_docs": (("raw",), """select
+  case when r.event_id % 89 <> 0 then r.message_id end as id,
+  k % 13 = 0 as outgoing, ts as date,
+  case when k % 4 = 0 then null when k % 4 = 1 then '' else d.text end as text,
+  case when k % 4 < 2 and user_id % 2 = 0 then concat('cap ', cast(message_id as varchar)) end as caption,
+  cast(floor(value) as int) as views,
+  case when k % 13 = 5 then null else k % 7 end as forwards,
+  case when event_id % 97 <> 0 then {'id': chat_id,
+    'type': case chat_id % 3 when 0 then 'CHANNEL' when 1 then 'SUPERGROUP' else 'GROUP' end,
+    'title': concat(case chat_id % 4 when 1 then 'שלום' when 2 then 'سلام' when 3 then 'news' else '' end, ' ',
+      cast(chat_id as varchar)),
+    'username': case when chat_id % 2 = 0 then concat('chat', cast(chat_id as varchar)) end,
+    'members_count': case when k % 6 <> 0 then cast(chat_id * 10 + k % 3 as int) end,
+    'is_scam': chat_id % 7 = 0, 'is_fake': case when chat_id % 5 = 0 then true end,
+    'linked_chat': case when chat_id % 2 = 0 then {'id': chat_id + 100} end} end as chat,
+  case when user_id % 5 <> 0 then {'id': user_id, 'first_name': concat('U', cast(user_id as varchar)),
+    'last_name': case when user_id % 2 = 0 then concat('L', cast(user_id as varchar)) end,
+    'username': case when k % 2 = 0 then concat('user', cast(user_id as varchar)) end,
+    'is_bot': user_id % 11 = 0} end as from_user,
+  case when user_id % 5 = 0 then {'id': -1000 - chat_id} end as sender_chat,
+  case when k % 11 = 1 then {'id': user_id} end as forward_from,
+  case when k % 11 = 0 then {'id': (chat_id + 7) % 40} end as forward_from_chat,
+  case when k % 11 <= 1 then message_id - 3 end as forward_from_message_id,
+  case when k % 3 = 0 then null else message_id - 1 - (k % 5) end as reply_to_message_id,
+  case event_type
+    when 'click' then {'reactions': [{'emoji': '👍', 'custom_emoji_id': null::bigint, 'count': k},
+      {'emoji': null::varchar, 'custom_emoji_id': 5000000000 + k % 3, 'count': 2},
+      {'emoji': '👍', 'custom_emoji_id': null::bigint, 'count': 1}]}
+    when 'view' then {'reactions': []::struct(emoji varchar, custom_emoji_id bigint, count int)[]}
+    when 'purchase' then {'reactions': [{'emoji': '🔥', 'custom_emoji_id': null::bigint, 'count': k % 4}]}
+  end as reactions,
+  case when event_type = 'signup' then {
+    'question': case when k % 5 = 0 then '' else concat('poll ', cast(message_id as varchar)) end,
+    'options': case when k % 2 = 0 then [{'text': 'yes', 'voter_count': k}, {'text': 'no', 'voter_count': k % 3},
+      {'text': 'yes', 'voter_count': 1}] else []::struct(text varchar, voter_count int)[] end} end as poll,
+  case when k % 9 in (0, 1) then {'file_id': concat('phf', cast(message_id as varchar)),
+    'file_unique_id': concat('phu', cast(message_id as varchar))} end as photo,
+  case when k % 9 = 1 then {'file_id': concat('dof', cast(message_id as varchar)),
+    'file_unique_id': concat('dou', cast(message_id as varchar))} end as document,
+  case when k % 9 = 2 then {'file_id': concat('vif', cast(message_id as varchar)),
+    'file_unique_id': concat('viu', cast(message_id as varchar))} end as video,
+  case when k % 9 = 3 then {'file_id': concat('vof', cast(message_id as varchar)),
+    'file_unique_id': concat('vou', cast(message_id as varchar))} end as voice,
+  cast(null as struct(file_id varchar, file_unique_id varchar)) as audio,
+  cast(null as struct(file_id varchar, file_unique_id varchar)) as sticker,
+  cast(null as struct(file_id varchar, file_unique_id varchar)) as animation,
+  cast(null as struct(file_id varchar, file_unique_id varchar)) as video_note,
+  cast(null as struct(file_id varchar, file_unique_id varchar)) as new_chat_photo,
+  event_id as _arrival
   from raw r left join documents d on d.doc_id = r.doc_key"""),
     "users": ((), """select c_custkey sender_id, c_name first_name,
   case when c_custkey % 2 = 0 then c_mktsegment end last_name,
