@@ -204,6 +204,20 @@ class Fixture:
         return self.raw.select("chat_id", "message_id", F.col("event_type").alias("poll_option_text"),
                                F.floor("value").cast("int").alias("votes_abs"))
 
+    @cached_property
+    def message_vectors(self) -> DataFrame:
+        """Messages with an embedding: vector `(message_id * 40 + chat_id) % n` of `embeddings`."""
+        emb = self.table("embeddings")
+        n = emb.select(F.count(F.lit(1))).scalar()
+        m = self.messages.withColumn("_vk", (F.col("message_id") * N_CHATS + F.col("chat_id")) % n)
+        return m.join(emb.select(F.col("vec_id").alias("_vk"), "embedding"), "_vk", "left").drop("_vk")
+
+    def query_vector(self, vec_id: int = 0) -> list[float]:
+        """The query vector: one row looked up by key, passed on as a query parameter
+        (as the reference passes the encoded query text)."""
+        row = self.table("embeddings").filter(F.col("vec_id") == vec_id).select("embedding").first()
+        return list(row[0])
+
     @cached_property
     def embeddings(self) -> DataFrame:
         return self.table("embeddings")
@@ -283,6 +297,8 @@ SQL_VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
   cast(null as struct(file_id varchar, file_unique_id varchar)) as new_chat_photo,
   event_id as _arrival
   from raw r left join documents d on d.doc_id = r.doc_key"""),
+    "message_vectors": (("messages",), """select m.*, e.embedding from messages m left join embeddings e
+  on e.vec_id = (m.message_id * 40 + m.chat_id) % (select count(*) from embeddings)"""),
     "users": ((), """select c_custkey sender_id, c_name first_name,
   case when c_custkey % 2 = 0 then c_mktsegment end last_name,
   case when c_custkey % 3 = 0 then concat('+', cast(c_custkey as varchar)) end phone_number from customer"""),
