@@ -184,6 +184,9 @@ def embed_pending(chains: DataFrame, store: DataFrame, dim: int, encoder: Encode
     Running it again on its own output finds nothing pending and returns the
     same table.
     """
+    from ..session import cut_lineage
     todo = pending_chains(chains, store, keys).filter(F.col(text_col).isNotNull())
     vec = embed(todo.select(*keys, text_col), text_col, "embedding", encoder or hashing_encoder(dim))
-    return append_embeddings(store, vec.select(*keys, "embedding"), dim, keys)
+    # the encoded batch is read twice by the append: materialise it once
+    vec = cut_lineage(vec.select(*keys, "embedding"))
+    return append_embeddings(store, vec, dim, keys)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import round4
 from ..operators import language, search, threads
+from ..session import cut_lineage
 from .fixtures import fixture, sql_with
 from .registry import register
 
@@ -133,7 +134,7 @@ where not exists (select 1 from messages p where p.chat_id = w.chat_id and p.mes
                   and e.embedding is not null)""", extra=_chain_sql_prefix() + ",\n" + CHAIN_EMB_SQL, recursive=True))
 def q_anti_pending(spark, sf_dir):
     f = fixture(spark, sf_dir)
-    chains = threads.message_chain(f.messages, f.chats)
+    chains = cut_lineage(threads.message_chain(f.messages, f.chats))  # used twice below
     return search.pending_chains(chains, _chain_embeddings(f, chains)).select("chat_id", "last_message_id")
 
 
@@ -188,8 +189,8 @@ where chain is not null or exists (select 1 from cemb e where e.chat_id = c.chat
     extra=_chain_sql_prefix() + ",\n" + CHAIN_EMB_SQL, recursive=True))
 def q_embed_pending_loop(spark, sf_dir):
     f = fixture(spark, sf_dir)
-    chains = threads.message_chain(f.messages, f.chats)
-    store = _chain_embeddings(f, chains).filter(F.col("embedding").isNotNull())
+    chains = cut_lineage(threads.message_chain(f.messages, f.chats))  # used three times below
+    store = cut_lineage(_chain_embeddings(f, chains).filter(F.col("embedding").isNotNull()))
     once = search.embed_pending(chains, store, 64)
     return once.select("chat_id", "last_message_id", F.size("embedding").alias("dim"))
 
@@ -211,7 +212,7 @@ select chat_id, last_message_id from cemb where embedding is not null""",
 def q_sink_embeddings(spark, sf_dir):
     f = fixture(spark, sf_dir)
     chains = threads.message_chain(f.messages, f.chats)
-    new = _chain_embeddings(f, chains)
+    new = cut_lineage(_chain_embeddings(f, chains))
     empty = new.limit(0)
     stored = search.append_embeddings(empty, new.filter(F.col("embedding").isNotNull()), 64)
     # appending the same batch again is a no-op (idempotent sink)
