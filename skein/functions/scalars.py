@@ -212,7 +212,7 @@ def search_params(text: ColOrName) -> Column:
     # a part without a space has no value: the reference fails on it; we keep key -> null
     return F.map_from_entries(F.transform(parts, lambda x: F.struct(
         F.split(x, " ", 2).getItem(0).alias("key"),
-        F.element_at(F.split(x, " ", 2), 2).alias("value"))))
+        F.try_element_at(F.split(x, " ", 2), F.lit(2)).alias("value"))))
 
 
 def clean_quotes(c: ColOrName) -> Column:
