@@ -45,7 +45,7 @@ def read_bars_csv(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = (spark.read.schema(schemas.BARS_CSV).option("header", True).option("nullValue", "#N/A")
            .option("mode", "PERMISSIVE").csv(path))
-    num = lambda c: F.try_cast(na_to_null(c), "double")
+    num = lambda c: na_to_null(c).try_cast("double")
     return raw.select(
         canonical_symbol("Name").alias("symbol"), interval_code("Interval").alias("granularity"),
         F.coalesce(F.try_to_timestamp("Date", F.lit("yyyy-MM-dd HH:mm:ss")),
@@ -66,9 +66,9 @@ def read_candles(spark: SparkSession, root: str, symbol: str | None = None, lo_y
     try:
         df = spark.read.schema(schema).option("basePath", root).parquet(root)
     except Exception as e:  # noqa: BLE001 - the path does not exist yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        df = spark.createDataFrame([], schema)
     if symbol is not None:
         df = df.filter(F.col("symbol") == symbol)
     if lo_yyyymm is not None:
