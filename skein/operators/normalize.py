@@ -135,10 +135,10 @@ def extract_chats(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         F.col("chat.linked_chat.id").alias("linked_chat_id"), F.col("chat.phone_number").alias("phone_number"))
 
 
-def extract_users(raw: DataFrame) -> DataFrame:
+def extract_users(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """User rows from `from_user`."""
     r = _keep(raw).filter(F.col("from_user").isNotNull())
-    return r.select(F.col("from_user.id").alias("sender_id"),
+    return r.select(*carry, F.col("from_user.id").alias("sender_id"),
                     *[F.col(f"from_user.{f.name}").alias(f.name) for f in schemas.RAW_USER.fields if f.name != "id"])
 
 

@@ -45,6 +45,11 @@ def read_bars_csv(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = (spark.read.schema(schemas.BARS_CSV).option("header", True).option("nullValue", "#N/A")
            .option("mode", "PERMISSIVE").csv(path))
+    return parse_bar_rows(raw)
+
+
+def parse_bar_rows(raw: DataFrame) -> DataFrame:
+    """Typed bars from sheet-export rows (shared by the batch and the streaming reader)."""
     num = lambda c: na_to_null(c).try_cast("double")
     return raw.select(
         canonical_symbol("Name").alias("symbol"), interval_code("Interval").alias("granularity"),
