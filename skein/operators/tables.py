@@ -28,7 +28,17 @@ def _nsafe_key_join(keys: Sequence[str]) -> Column:
 
 
 def dedupe_first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """Within a batch keep the first row per key by arrival `order`."""
+    """Within a batch keep the first row per key by arrival `order`.
+
+    With plain column names (ascending) this is one aggregation,
+    `min_by(row, order)`, which is combined map-side, so a key holding a large
+    share of the rows is reduced before the shuffle.  Other sort specs
+    (descending, nulls last) use a row_number window.
+    """
+    if all(isinstance(o, str) for o in order):
+        rest = [c for c in df.columns if c not in keys]
+        g = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_first"))
+        return g.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]).select(*df.columns)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
@@ -143,8 +153,12 @@ def dense_index(df: DataFrame, order: Sequence[str], start: int | Column = 1, na
     rows per partition (one tiny row per partition), turn the counts into
     offsets and add them back with a broadcast of that tiny table.
     """
+    from ..session import cut_lineage
     s = df.orderBy(*order).withColumn("_mono", F.monotonically_increasing_id())
     s = s.withColumn("_part", F.shiftright("_mono", 33)).withColumn("_pos", F.col("_mono").bitwiseAND((1 << 33) - 1))
+    # Materialise once: counts and positions must come from the same range
+    # partitioning (its bounds are sampled, so a re-run could cut differently).
+    s = cut_lineage(s)
     counts = s.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
