@@ -60,9 +60,13 @@ def pending(left: DataFrame) -> DataFrame:
     return left.filter(F.col("leftovers") > 0)
 
 
+def worklist_keys() -> list[Column]:
+    return [F.col("has_offset").desc(), F.col("leftovers").asc_nulls_last(), F.col("chat_id").asc()]
+
+
 def worklist_order(left: DataFrame) -> DataFrame:
-    """Chats with a resume offset first, then by leftovers ascending (ties by id)."""
-    return left.orderBy(F.col("has_offset").desc(), F.col("leftovers").asc(), F.col("chat_id").asc())
+    """Chats with a resume offset first, then by leftovers ascending (unknown last, ties by id)."""
+    return left.orderBy(*worklist_keys())
 
 
 def fetch_window(messages: DataFrame, bounds: DataFrame, now: str, full_ids: Sequence[int] = (),

@@ -66,12 +66,13 @@ def q_leftovers(spark, sf_dir):
 
 
 @register("worklist_order", sql_with(["messages", "chats"], """
-select chat_id, leftovers, row_number() over (order by has_offset desc, leftovers asc, chat_id asc) as position
+select chat_id, leftovers, row_number() over (order by has_offset desc, leftovers asc nulls last, chat_id asc)
+  as position
 from lefts""", extra=DIALOGS_SQL))
 def q_worklist_order(spark, sf_dir):
     ordered = planning.worklist_order(_leftovers(fixture(spark, sf_dir)))
-    return tables.dense_index(ordered, [F.col("has_offset").desc(), F.col("leftovers").asc(), F.col("chat_id").asc()],
-                              name="position").select("chat_id", "leftovers", "position")
+    return tables.dense_index(ordered, planning.worklist_keys(), name="position").select(
+        "chat_id", "leftovers", "position")
 
 
 @register("fetch_window", sql_with(["messages", "chats"], f"""
