@@ -212,3 +212,33 @@ def q_ancestor_closure_distinct(spark, sf_dir):
 def q_union_all_recursive(spark, sf_dir):
     f = fixture(spark, sf_dir)
     return threads.ancestor_closure(_seed(f), f.messages, replies=True, forwards=True, distinct=False)
+
+
+@register("sort_array_position", sql_with(["messages"], """
+select r.chat_id, r.last_msg_id as leaf_id, g.sender_chain from roots r join (
+  select chat_id, last_msg_id, list(sender_id order by pos) as sender_chain
+  from (select x.chat_id, x.last_msg_id, x.pos, m.sender_id from (
+      select chat_id, last_msg_id, unnest(list_reverse(msg_chain)) as mid,
+        generate_subscripts(msg_chain, 1) as pos from roots) x
+    left join messages m on m.chat_id = x.chat_id and m.message_id = x.mid)
+  group by chat_id, last_msg_id) g on g.chat_id = r.chat_id and g.last_msg_id = r.last_msg_id
+where not exists (select 1 from messages c where c.chat_id = r.chat_id and c.reply_to_message_id = r.last_msg_id)""",
+    extra=WALK + ",\n" + ROOTS, recursive=True))
+def q_sort_array_position(spark, sf_dir):
+    """Senders of each maximal chain ordered by their position in the (root-first) chain."""
+    m = fixture(spark, sf_dir).messages
+    c = threads.maximal_chains(m)
+    g = threads.gather(c, m, ["chat_id", "leaf_id"], "msg_chain", ["sender_id"])
+    return g.select("chat_id", "leaf_id", F.col("sender_id_chain").alias("sender_chain"))
+
+
+@register("order_chain", sql_with(["messages"], """
+select chat_id, first_msg_id, last_msg_id,
+  row_number() over (order by first_msg_id desc, chat_id, last_msg_id) as position from roots""",
+    extra=WALK + ",\n" + ROOTS, recursive=True))
+def q_order_chain(spark, sf_dir):
+    """Root-reaching chains ordered by root id descending (ties by chat and start id)."""
+    from ..operators import tables
+    c = threads.chains_to_root(fixture(spark, sf_dir).messages).select("chat_id", "first_msg_id", "last_msg_id")
+    return tables.dense_index(c, [F.col("first_msg_id").desc(), F.col("chat_id"), F.col("last_msg_id")],
+                              name="position")
