@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, cut_lineage_counting
 
 MAX_ROUNDS = 64
 NEXT_MSG = "<<NEXTMSG>>"
@@ -59,8 +59,8 @@ def paths(messages: DataFrame, parent: str = "reply_to_message_id", max_rounds:
             cyc.alias("cycle"),
             ext.alias("_ext"),
         )
-        nxt = cut_lineage(stepped.unionByName(settled.withColumn("_ext", F.lit(False))))
-        moved = nxt.filter("_ext").limit(1).count()
+        nxt, moved = cut_lineage_counting(stepped.unionByName(settled.withColumn("_ext", F.lit(False))),
+                                          F.col("_ext"))
         state = nxt.drop("_ext")
         if moved == 0:
             return state
@@ -78,8 +78,10 @@ def gather(chains: DataFrame, messages: DataFrame, keys: Sequence[str], chain_co
     x = chains.select(*keys, F.posexplode(chain_col).alias("_pos", "_mid"))
     m = messages.select("chat_id", F.col("message_id").alias("_mid"), *cols)
     j = x.join(m, ["chat_id", "_mid"], "left")
-    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_pos", *cols))).alias("_items"))
-    return g.select(*keys, *[F.transform("_items", _field(c)).alias(f"{c}_chain") for c in cols])
+    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_pos", "_mid", *cols))).alias("_items"))
+    # the id chain is rebuilt from the gathered items, so callers need no join back
+    return g.select(*keys, F.transform("_items", _field("_mid")).alias(chain_col),
+                    *[F.transform("_items", _field(c)).alias(f"{c}_chain") for c in cols])
 
 
 def _field(name: str):
@@ -153,8 +155,7 @@ def chains_text(messages: DataFrame) -> DataFrame:
     """G03 plus the texts in chain order."""
     c = chains_to_root(messages)
     g = gather(c, messages, ["chat_id", "last_msg_id"], "msg_chain", ["text"])
-    return c.join(g, ["chat_id", "last_msg_id"]).select("chat_id", "last_msg_id", "msg_chain",
-                                                        F.col("text_chain"))
+    return g.select("chat_id", "last_msg_id", "msg_chain", "text_chain")
 
 
 def anti_prefix_rows(chains: DataFrame, messages: DataFrame) -> DataFrame:
@@ -189,8 +190,7 @@ def message_threads(messages: DataFrame, start, end=None, chat_ids: Sequence[int
     ext = kept.select("chat_id", F.col("last_msg_id").alias("t2")).join(starts, ["chat_id", "t2"])
     t = kept.join(ext.select("chat_id", "last_msg_id"), ["chat_id", "last_msg_id"], "left_anti")
     g = gather(t, m, ["chat_id", "last_msg_id"], "msg_id_chain", ["sender_id", "text"])
-    return (t.join(g, ["chat_id", "last_msg_id"])
-            .select("chat_id", "msg_id_chain", "sender_id_chain", "text_chain"))
+    return g.select("chat_id", "msg_id_chain", "sender_id_chain", "text_chain")
 
 
 # G08 ----------------------------------------------------------------------
@@ -207,8 +207,7 @@ def message_chain(messages: DataFrame, chats: DataFrame) -> DataFrame:
     lv = leaves(m).select("chat_id", F.col("message_id").alias("id"))
     lp = p.join(lv, ["chat_id", "id"], "left_semi").select(
         "chat_id", F.col("id").alias("last_message_id"), F.reverse("path").alias("chain_ids"))
-    g = gather(lp, m, ["chat_id", "last_message_id"], "chain_ids", ["text", "sent_by_linked_chat"])
-    j = lp.join(g, ["chat_id", "last_message_id"])
+    j = gather(lp, m, ["chat_id", "last_message_id"], "chain_ids", ["text", "sent_by_linked_chat"])
     texts = F.col("text_chain")
     return j.select(
         "chat_id",
@@ -302,8 +301,8 @@ def _frontier_closure(seed: DataFrame, messages: DataFrame, replies: bool, forwa
         targets = targets.filter(F.col("message_id").isNotNull() & F.col("chat_id").isNotNull())
         if distinct:
             targets = targets.distinct().join(visited, key, "left_anti")
-        nxt = cut_lineage(targets.join(messages, key).select(*messages.columns))
-        if nxt.limit(1).count() == 0:
+        nxt, found = cut_lineage_counting(targets.join(messages, key).select(*messages.columns), F.lit(True))
+        if found == 0:
             out = parts[0]
             for p_ in parts[1:]:
                 out = out.unionByName(p_)

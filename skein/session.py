@@ -59,6 +59,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_lineage_counting(df: DataFrame, condition) -> tuple[DataFrame, int]:
+    """Checkpoint `df` and count the rows meeting `condition` in the same job
+    (an `Observation` on the checkpoint's own pass, no second scan)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    obs = Observation()
+    cp = cut_lineage(df.observe(obs, F.count_if(condition).alias("n")))
+    return cp, int(obs.get["n"] or 0)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder for staged table writes."""
     base = ensure_checkpoint_dir(spark)
