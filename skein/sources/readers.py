@@ -68,12 +68,16 @@ def read_candles(spark: SparkSession, root: str, symbol: str | None = None, lo_y
     """
     schema = ("day int, hour int, minute int, second int, open double, high double, low double, close double, "
               "volume double, adj_close double, symbol string, yyyymm int")
-    try:
-        df = spark.read.schema(schema).option("basePath", root).parquet(root)
-    except Exception as e:  # noqa: BLE001 - the path does not exist yet
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
+    paths = _candle_paths(spark, root, symbol, lo_yyyymm, hi_yyyymm)
+    if paths == []:
         df = spark.createDataFrame([], schema)
+    else:
+        try:
+            df = spark.read.schema(schema).option("basePath", root).parquet(*(paths or [root]))
+        except Exception as e:  # noqa: BLE001 - the store does not exist yet
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            df = spark.createDataFrame([], schema)
     if symbol is not None:
         df = df.filter(F.col("symbol") == symbol)
     if lo_yyyymm is not None:
@@ -84,6 +88,42 @@ def read_candles(spark: SparkSession, root: str, symbol: str | None = None, lo_y
                      "open", "high", "low", "close", "volume", "adj_close")
 
 
+def _months(lo: int, hi: int) -> list[int]:
+    out, y, m = [], lo // 100, lo % 100
+    while y * 100 + m <= hi:
+        out.append(y * 100 + m)
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return out
+
+
+# characters Spark escapes in partition directory names (as %XX)
+_PATH_ESCAPES = set('"#%\'*/:=?\\\x7f{[]^')
+
+
+def partition_dir_value(v: str) -> str:
+    """A partition value as Spark writes it into a directory name."""
+    return "".join(f"%{ord(c):02X}" if (c in _PATH_ESCAPES or ord(c) < 0x20) else c for c in str(v))
+
+
+def _candle_paths(spark: SparkSession, root: str, symbol: str | None, lo: int | None, hi: int | None):
+    """Existing partition directories for one symbol and a month range (None = let Spark list).
+
+    Reading the named directories avoids listing every `symbol=/yyyymm=` folder
+    of the store; directories that do not exist are skipped.
+    """
+    if symbol is None or lo is None or hi is None or hi < lo:
+        return None
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    sym = partition_dir_value(symbol)
+    base = jvm.org.apache.hadoop.fs.Path(f"{root}/symbol={sym}")
+    fs = base.getFileSystem(conf)
+    if not fs.exists(base):
+        return []
+    return [f"{root}/symbol={sym}/yyyymm={m}" for m in _months(lo, hi)
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/symbol={sym}/yyyymm={m}"))]
+
+
 def read_chain_file(spark: SparkSession, path: str) -> DataFrame:
     """A chain file must have exactly the contract columns; null chains are dropped."""
     df = spark.read.parquet(path)
