@@ -208,3 +208,16 @@ select chat_id, coalesce(invite, cast(chat_id as varchar)) as invite from recon
     extra=RECON_SQL))
 def q_join_candidates(spark, sf_dir):
     return planning.join_candidates(planning.reconcile_dialogs(*_recon_inputs(fixture(spark, sf_dir))))
+
+
+@register("refresh_gate", sql_with(["messages", "chats"], f"""
+select cast(l.value as timestamp) as last_run,
+  l.value is null or cast(l.value as timestamp) < timestamp '{NOW}' - interval 1 day as due
+from (select arg_max(case when event_type = 'signup' then cast(ts as varchar) end,
+  case when event_type = 'signup' then event_id end) as value from events) l"""))
+def q_refresh_gate(spark, sf_dir):
+    """I04 gate: the refresh runs only if the last recorded run is more than a day old."""
+    ev = fixture(spark, sf_dir).table("events").filter(F.col("event_type") == "signup")
+    log = ev.select(F.lit("refresh").alias("project"), F.lit("last_run").alias("key"),
+                    F.col("ts").cast("string").alias("value"), F.col("event_id").alias("seq"), F.lit("set").alias("op"))
+    return planning.refresh_due(tables.latest_setting(log), NOW)
