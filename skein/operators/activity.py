@@ -66,12 +66,16 @@ def hourly_counts(messages: DataFrame, chat_id: int | None = None) -> DataFrame:
 
 
 def ranked_senders(hourly: DataFrame) -> DataFrame:
-    """W01 + W02: rank within (chat, hour) by count desc, and the hour's total."""
-    w = Window.partitionBy("chat_id", "hour")
-    return hourly.select(
-        "*",
-        F.rank().over(w.orderBy(F.col("message_count").desc())).alias("rank"),
-        F.sum("message_count").over(w).alias("total_messages_per_hour"))
+    """W01 + W02: rank within (chat, hour) by count desc, and the hour's total.
+
+    The total (`SUM() OVER (PARTITION BY hour)`) is computed as a grouped
+    aggregate joined back (chats x 24 rows), so the window holds only `rank`
+    and a following `rank <= n` filter becomes a `WindowGroupLimit` (top n per
+    partition before the shuffle) even when one chat-hour has very many senders.
+    """
+    totals = hourly.groupBy("chat_id", "hour").agg(F.sum("message_count").alias("total_messages_per_hour"))
+    w = Window.partitionBy("chat_id", "hour").orderBy(F.col("message_count").desc())
+    return hourly.withColumn("rank", F.rank().over(w)).join(totals, ["chat_id", "hour"])
 
 
 def top_senders(ranked: DataFrame, n: int = 3) -> DataFrame:

@@ -100,7 +100,8 @@ def leaf_flags(messages: DataFrame) -> DataFrame:
 
 
 def leaves(messages: DataFrame) -> DataFrame:
-    parents = messages.select("chat_id", F.col("reply_to_message_id").alias("message_id"))
+    # distinct parents: a message with very many replies becomes one row before the shuffle
+    parents = messages.select("chat_id", F.col("reply_to_message_id").alias("message_id")).distinct()
     return messages.join(parents, ["chat_id", "message_id"], "left_anti")
 
 
@@ -160,7 +161,7 @@ def chains_text(messages: DataFrame) -> DataFrame:
 
 def anti_prefix_rows(chains: DataFrame, messages: DataFrame) -> DataFrame:
     """Drop chains whose start message is replied to by some message."""
-    r = messages.select("chat_id", F.col("reply_to_message_id").alias("last_msg_id"))
+    r = messages.select("chat_id", F.col("reply_to_message_id").alias("last_msg_id")).distinct()
     return chains.join(r, ["chat_id", "last_msg_id"], "left_anti")
 
 
