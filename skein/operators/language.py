@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import has_script, language_pct
+from ..functions.scalars import SCRIPT_RANGES, has_script, language_pct
 
 STAT_COLS = ("sample_count", "arabic_count", "hebrew_count", "english_count")
 
@@ -25,10 +25,14 @@ def sample_first_n(messages: DataFrame, n: int = 10) -> DataFrame:
 def chat_counts(messages: DataFrame) -> DataFrame:
     """Per chat, non-empty texts and texts with Arabic / Hebrew / Latin letters."""
     t = F.coalesce(F.col("text"), F.lit(""))
+    # Hebrew and Arabic letters are adjacent blocks: one scan for "any of them"
+    # guards both specific tests (`And` short-circuits), so a text with neither
+    # script (the common case) is scanned once instead of twice.
+    semitic = t.rlike(f"[{SCRIPT_RANGES['hebrew'][0]}-{SCRIPT_RANGES['arabic'][-1]}]")
     return messages.groupBy("chat_id").agg(
         F.count_if(F.length(t) > 0).alias("sample_count"),
-        F.count_if(has_script(t, "arabic")).alias("arabic_count"),
-        F.count_if(has_script(t, "hebrew")).alias("hebrew_count"),
+        F.count_if(semitic & has_script(t, "arabic")).alias("arabic_count"),
+        F.count_if(semitic & has_script(t, "hebrew")).alias("hebrew_count"),
         F.count_if(has_script(t, "english")).alias("english_count"))
 
 
