@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset (tests, ad-hoc local runs): a scratch folder of our own.
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to other executors
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
+        # Unset in a local session (tests, ad-hoc runs): a scratch folder of our own.
         configured = tempfile.mkdtemp(prefix="skein-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
