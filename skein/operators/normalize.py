@@ -2,8 +2,10 @@
 
 The reference normalises one Python dict at a time; here each rule is a
 column expression over the declared nested schema (`schemas.RAW_MESSAGE`),
-so a batch of any size is one projection (plus one keyed aggregation for
-the list-valued parts).  Nulls are pruned implicitly by the struct schema.
+so a batch of any size is one projection: list-valued parts (reactions,
+poll options) are resolved inside the row with higher-order functions, so
+normalisation shuffles nothing.  Nulls are pruned implicitly by the struct
+schema.
 """
 
 from __future__ import annotations
@@ -49,76 +51,98 @@ def message_media() -> list[Column]:
     return [kind.alias("media_type"), fid.alias("file_id"), fuid.alias("file_unique_id")]
 
 
+def _reaction_key(r: Column) -> Column:
+    """Reaction key of one list element: the emoji, else the custom emoji id as text."""
+    return F.coalesce(r.getField("emoji"), r.getField("custom_emoji_id").cast("string"))
+
+
+def _option_key(o: Column) -> Column:
+    return o.getField("text")
+
+
+def _last_wins(arr: Column, key_of, value_field: str) -> Column:
+    """Dict semantics inside the row: distinct keys in first-occurrence order, each
+    with the value of its last occurrence -> array<struct<pos, key, value>>.
+
+    Evaluated per row with higher-order functions (lists are short), so the
+    normalisation needs no shuffle at all.
+    """
+    keys = F.array_distinct(F.transform(arr, key_of))
+    return F.transform(keys, lambda k, i: F.struct(
+        i.alias("pos"), k.alias("key"),
+        F.element_at(F.filter(arr, lambda x: key_of(x).eqNullSafe(k)), -1).getField(value_field).alias("value")))
+
+
+def _total(items: Column) -> Column:
+    return F.aggregate(items, F.lit(0), lambda acc, x: acc + x.getField("value"))
+
+
+def _reaction_list() -> Column:
+    return _last_wins(F.col("reactions.reactions"), _reaction_key, "count")
+
+
+def _poll_list() -> Column:
+    return _last_wins(F.col("poll.options"), _option_key, "voter_count")
+
+
+def _explode_items(raw: DataFrame, items: Column, key_name: str) -> DataFrame:
+    x = raw.select(F.col("chat.id").alias("chat_id"), F.col("id").alias("message_id"), items.alias("_items"))
+    x = x.select("chat_id", "message_id", _total("_items").alias("_total"), F.explode("_items").alias("_it"))
+    return x.select("chat_id", "message_id", F.col("_it.key").alias(key_name), F.col("_it.value").alias("votes_abs"),
+                    F.col("_it.pos").alias("first_pos"), "_total")
+
+
 def _reaction_items(raw: DataFrame) -> DataFrame:
     """One row per (message, reaction key) with the last count of equal keys."""
-    x = raw.select(F.col("chat.id").alias("chat_id"), F.col("id").alias("message_id"),
-                   F.posexplode("reactions.reactions").alias("pos", "r"))
-    x = x.select("chat_id", "message_id", "pos",
-                 F.coalesce(F.col("r.emoji"), F.col("r.custom_emoji_id").cast("string")).alias("reaction"),
-                 F.col("r.count").alias("count"))
-    return x.groupBy("chat_id", "message_id", "reaction").agg(F.max_by("count", "pos").alias("votes_abs"),
-                                                              F.min("pos").alias("first_pos"))
+    return _explode_items(raw, _reaction_list(), "reaction").drop("_total")
 
 
 def _poll_items(raw: DataFrame) -> DataFrame:
-    """One row per (message, option text): first position, last count."""
-    x = raw.select(F.col("chat.id").alias("chat_id"), F.col("id").alias("message_id"),
-                   F.posexplode("poll.options").alias("pos", "o"))
-    g = x.groupBy("chat_id", "message_id", F.col("o.text").alias("poll_option_text")).agg(
-        F.min("pos").alias("first_pos"), F.max_by("o.voter_count", "pos").alias("votes_abs"))
-    return g
-
-
-def _totals(items: DataFrame, name: str) -> DataFrame:
-    return items.groupBy("chat_id", "message_id").agg(F.sum("votes_abs").cast("int").alias(name))
+    """One row per (message, option text): position among distinct texts, last count."""
+    return _explode_items(raw, _poll_list(), "poll_option_text").drop("_total")
 
 
 def flatten_messages(raw: DataFrame) -> DataFrame:
-    """P01 (+P02, P03, A13): one `messages` row per raw document.
+    """P01 (+P02, P03, A13): one `messages` row per raw document, a pure projection.
 
     reactions_vote_count: null without reactions or with an empty list;
-    poll_vote_count: null without options.  Both come from one keyed
-    aggregation of the exploded lists, joined back on the message key.
+    poll_vote_count: null without options; equal keys count once with their
+    last value (as the reference's dicts do).
     """
     r = _keep(raw)
-    base = r.select(
+    reac, poll = _reaction_list(), _poll_list()
+    out = r.select(
         F.col("chat.id").alias("chat_id"), F.col("id").alias("message_id"),
         F.coalesce(F.col("from_user.id"), F.col("sender_chat.id")).alias("sender_id"),
         message_text().alias("text"), "date", "views", "forwards",
         F.coalesce(F.col("forward_from_chat.id"), F.col("forward_from.id")).alias("forward_from_chat_id"),
-        "forward_from_message_id", "reply_to_message_id", *message_media())
-    rt = _totals(_reaction_items(r), "reactions_vote_count")
-    pt = _totals(_poll_items(r), "poll_vote_count")
-    out = base.join(rt, ["chat_id", "message_id"], "left").join(pt, ["chat_id", "message_id"], "left")
+        "forward_from_message_id", "reply_to_message_id",
+        F.when(F.size("poll.options") > 0, _total(poll)).cast("int").alias("poll_vote_count"),
+        F.when(F.size("reactions.reactions") > 0, _total(reac)).cast("int").alias("reactions_vote_count"),
+        *message_media())
     return out.select(*[f.name for f in schemas.MESSAGES.fields])
 
 
+def _norm(value: str, total: str) -> Column:
+    return F.when(F.coalesce(F.col(total), F.lit(0)) != 0,
+                  F.col(value).cast("double") / F.col(total).cast("double")).otherwise(F.lit(0.0))
+
+
 def explode_reactions(raw: DataFrame, emoji_map: DataFrame) -> DataFrame:
-    """(chat_id, message_id, reaction_id, reaction_votes_norm, reaction_votes_abs)."""
-    items = _reaction_items(_keep(raw))
-    t = _totals(items, "_total")
-    j = items.join(t, ["chat_id", "message_id"])
-    enc = tables.encode(j, "reaction", emoji_map)
-    return enc.select(
-        "chat_id", "message_id", "reaction_id",
-        F.when(F.coalesce(F.col("_total"), F.lit(0)) != 0,
-               F.col("votes_abs").cast("double") / F.col("_total").cast("double")).otherwise(F.lit(0.0))
-         .alias("reaction_votes_norm"),
-        F.col("votes_abs").alias("reaction_votes_abs"))
+    """(chat_id, message_id, reaction_id, reaction_votes_norm, reaction_votes_abs).
+
+    Explode + in-row totals; the only join is with the emoji dictionary."""
+    items = _explode_items(_keep(raw), _reaction_list(), "reaction")
+    enc = tables.encode(items, "reaction", emoji_map)
+    return enc.select("chat_id", "message_id", "reaction_id", _norm("votes_abs", "_total").alias("reaction_votes_norm"),
+                      F.col("votes_abs").alias("reaction_votes_abs"))
 
 
 def explode_poll(raw: DataFrame) -> DataFrame:
-    """Option id = rank of the option's first position among distinct texts."""
-    items = _poll_items(_keep(raw))
-    t = _totals(items, "_total")
-    j = items.join(t, ["chat_id", "message_id"])
-    rank = F.expr("rank() over (partition by chat_id, message_id order by first_pos)") - 1
-    return j.select(
-        "chat_id", "message_id", rank.cast("int").alias("poll_option_id"), "poll_option_text",
-        F.when(F.coalesce(F.col("_total"), F.lit(0)) != 0,
-               F.col("votes_abs").cast("double") / F.col("_total").cast("double")).otherwise(F.lit(0.0))
-         .alias("votes_norm"),
-        "votes_abs")
+    """Option id = position of the option's text among distinct texts (first occurrence)."""
+    items = _explode_items(_keep(raw), _poll_list(), "poll_option_text")
+    return items.select("chat_id", "message_id", F.col("first_pos").cast("int").alias("poll_option_id"),
+                        "poll_option_text", _norm("votes_abs", "_total").alias("votes_norm"), "votes_abs")
 
 
 def extract_chats(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
