@@ -39,15 +39,21 @@ def paths(messages: DataFrame, parent: str = "reply_to_message_id", max_rounds:
     ends with `id`; `ptr` is null when a root was reached, else the id of a
     parent that is missing from the input (orphan).  `cycle` marks walks
     stopped because they met themselves (possible only with forward links).
+
+    Each round joins the still-active walks with the current state of every
+    node: settled nodes (root reached, orphan, cycle) are written once and
+    then only read, so a round writes just the walks that are still moving.
     """
-    state = _edges(messages, parent).select(
-        "chat_id", "id", "ptr", F.array("id").alias("path"), F.lit(False).alias("cycle"))
-    state = cut_lineage(state)
+    state = cut_lineage(_edges(messages, parent).select(
+        "chat_id", "id", "ptr", F.array("id").alias("path"), F.lit(False).alias("cycle")))
+    settled = [state.filter(F.col("ptr").isNull())]
+    active = state.filter(F.col("ptr").isNotNull())
     for _ in range(max_rounds):
-        active = state.filter(F.col("ptr").isNotNull() & ~F.col("cycle"))
-        settled = state.filter(F.col("ptr").isNull() | F.col("cycle"))
-        b = state.select(F.col("chat_id").alias("b_chat"), F.col("id").alias("b_id"),
-                         F.col("ptr").alias("b_ptr"), F.col("path").alias("b_path"))
+        current = active
+        for part in settled:
+            current = current.unionByName(part)
+        b = current.select(F.col("chat_id").alias("b_chat"), F.col("id").alias("b_id"),
+                           F.col("ptr").alias("b_ptr"), F.col("path").alias("b_path"))
         j = active.join(b, (F.col("chat_id") == F.col("b_chat")) & (F.col("ptr") == F.col("b_id")), "left")
         hit = F.col("b_id").isNotNull()
         cyc = hit & F.arrays_overlap(F.col("b_path"), F.col("path"))
@@ -57,13 +63,18 @@ def paths(messages: DataFrame, parent: str = "reply_to_message_id", max_rounds:
             F.when(ext, F.col("b_ptr")).otherwise(F.col("ptr")).alias("ptr"),
             F.when(ext, F.concat("b_path", "path")).otherwise(F.col("path")).alias("path"),
             cyc.alias("cycle"),
-            ext.alias("_ext"),
+            # still walking: moved this round and has a further parent to look up
+            (ext & F.col("b_ptr").isNotNull()).alias("_go"),
         )
-        nxt, moved = cut_lineage_counting(stepped.unionByName(settled.withColumn("_ext", F.lit(False))),
-                                          F.col("_ext"))
-        state = nxt.drop("_ext")
-        if moved == 0:
-            return state
+        stepped, moving = cut_lineage_counting(stepped, F.col("_go"))
+        # no match means the parent is missing (orphan): final, like roots and cycles
+        settled.append(stepped.filter(~F.col("_go")).drop("_go"))
+        active = stepped.filter(F.col("_go")).drop("_go")
+        if moving == 0:
+            out = settled[0]
+            for part in settled[1:]:
+                out = out.unionByName(part)
+            return out
     raise RuntimeError(f"reply walk did not settle within {max_rounds} doubling rounds")
 
 
