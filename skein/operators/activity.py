@@ -31,9 +31,9 @@ def count_dialogs(chats: DataFrame) -> DataFrame:
 def last_message_age(messages: DataFrame, now: dt.datetime | str) -> DataFrame:
     """Newest message date and seconds since then, relative to a given `now`."""
     n = F.lit(str(now)).cast("timestamp_ntz")
+    # wall-clock difference of zone-less timestamps (independent of the session zone)
     return messages.agg(F.max("date").alias("max_date")).select(
-        "max_date", (F.unix_micros(n.cast("timestamp")) - F.unix_micros(F.col("max_date").cast("timestamp")))
-        .cast("double").__truediv__(1e6).alias("age_seconds"))
+        "max_date", (F.timestamp_diff("MICROSECOND", F.col("max_date"), n).cast("double") / 1e6).alias("age_seconds"))
 
 
 def group_max_first(messages: DataFrame, chats: DataFrame) -> DataFrame:

@@ -277,13 +277,20 @@ def reaction_text(selected: DataFrame) -> DataFrame:
                                            F.lit("<<FORWARDS>>"), F.col("forwards").cast("string")).alias("text")))
 
 
-def doc_any_text(raw: DataFrame) -> DataFrame:
-    """Documents with any of text / caption / poll question; first non-null as text."""
+def doc_any_text(raw: DataFrame, chat_id: int | None = None, first: bool = False) -> DataFrame:
+    """Documents with any of text / caption / poll question; first non-null as text.
+
+    `first=True` is the document store's `find_one`: one matching document,
+    made deterministic by taking the smallest message id (a top-1, no sort of the table).
+    """
     r = raw.filter(F.col("text").isNotNull() | F.col("caption").isNotNull() | F.col("poll.question").isNotNull())
-    return r.select(F.col("chat.id").alias("from"), "date",
-                    F.coalesce("text", "caption", "poll.question").alias("text"),
-                    F.col("poll.options").alias("responses"), F.col("reactions.reactions").alias("reactions"),
-                    F.col("id").alias("message_id"))
+    if chat_id is not None:
+        r = r.filter(F.col("chat.id") == chat_id)
+    out = r.select(F.col("chat.id").alias("from"), "date",
+                   F.coalesce("text", "caption", "poll.question").alias("text"),
+                   F.col("poll.options").alias("responses"), F.col("reactions.reactions").alias("reactions"),
+                   F.col("id").alias("message_id"))
+    return out.orderBy("message_id", "from").limit(1) if first else out
 
 
 def normalize_chat(chats: DataFrame, links: DataFrame) -> DataFrame:

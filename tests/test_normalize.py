@@ -74,3 +74,13 @@ def test_split_valid(spark):
     ok, bad = normalize.split_valid(df, "messages")
     assert sorted(r.message_id for r in ok.collect()) == [1, 4]
     assert sorted(r.message_id for r in bad.collect()) == [2, 3]
+
+
+def test_doc_any_text_first(spark):
+    docs = [_doc(id=5, chat={"id": 1}, caption="c5"), _doc(id=3, chat={"id": 1}, text="t3"),
+            _doc(id=4, chat={"id": 1}), _doc(id=2, chat={"id": 2}, poll={"question": "q", "options": []})]
+    raw = _raw(spark, docs)
+    all_rows = normalize.doc_any_text(raw, chat_id=1).collect()
+    assert sorted((r.message_id, r.text) for r in all_rows) == [(3, "t3"), (5, "c5")]
+    one = normalize.doc_any_text(raw, chat_id=1, first=True).collect()
+    assert [(r.message_id, r.text) for r in one] == [(3, "t3")]
