@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, cut_lineage_counting
 
 MAX_ROUNDS = 64
+VISITED_COMPACT_EVERY = 4
 NEXT_MSG = "<<NEXTMSG>>"
 
 
@@ -294,7 +295,7 @@ def _frontier_closure(seed: DataFrame, messages: DataFrame, replies: bool, forwa
     frontier = seed.distinct() if distinct else seed
     frontier = cut_lineage(frontier)
     parts = [frontier]
-    visited = frontier.select(*key).distinct() if distinct else None
+    visited, recent = (frontier.select(*key), []) if distinct else (None, [])
     for _ in range(max_depth):
         links = []
         if replies:
@@ -312,7 +313,12 @@ def _frontier_closure(seed: DataFrame, messages: DataFrame, replies: bool, forwa
             targets = targets.unionByName(extra)
         targets = targets.filter(F.col("message_id").isNotNull() & F.col("chat_id").isNotNull())
         if distinct:
-            targets = targets.distinct().join(visited, key, "left_anti")
+            # visited = a compacted base plus the last few frontiers (all checkpointed and
+            # disjoint): rewritten only every few rounds, and the plan stays narrow
+            seen = visited
+            for p_ in recent:
+                seen = seen.unionByName(p_.select(*key))
+            targets = targets.distinct().join(seen, key, "left_anti")
         nxt, found = cut_lineage_counting(targets.join(messages, key).select(*messages.columns), F.lit(True))
         if found == 0:
             out = parts[0]
@@ -321,6 +327,9 @@ def _frontier_closure(seed: DataFrame, messages: DataFrame, replies: bool, forwa
             return out
         parts.append(nxt)
         if distinct:
-            visited = cut_lineage(visited.unionByName(nxt.select(*key)))
+            recent.append(nxt)
+            if len(recent) >= VISITED_COMPACT_EVERY:
+                visited = cut_lineage(seen.unionByName(nxt.select(*key)))
+                recent = []
         frontier = nxt
     raise RuntimeError(f"closure frontier still non-empty after {max_depth} rounds (cycle with duplicates?)")
