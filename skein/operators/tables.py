@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SEQ = "_seq"
 
@@ -30,19 +31,38 @@ def _nsafe_key_join(keys: Sequence[str]) -> Column:
 def dedupe_first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Within a batch keep the first row per key by arrival `order`.
 
-    With plain column names (ascending) this is one aggregation,
-    `min_by(row, order)`, which is combined map-side, so a key holding a large
-    share of the rows is reduced before the shuffle.  Other sort specs
-    (descending, nulls last) use a row_number window.
+    With column names or `(name, descending, nulls_last)` specs this is one
+    aggregation, `min_by(row, sort_key)`, which is combined map-side, so a key
+    holding a large share of the rows is reduced before the shuffle.  Other
+    `Column` sort expressions use a row_number window.
     """
-    if all(isinstance(o, str) for o in order):
+    if all(isinstance(o, (str, tuple)) for o in order):
         rest = [c for c in df.columns if c not in keys]
-        g = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_first"))
+        g = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), sort_key(df, order)).alias("_first"))
         return g.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]).select(*df.columns)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def sort_key(df: DataFrame, order: Sequence[str | tuple]) -> Column:
+    """A struct whose natural (ascending) order is the requested sort order.
+
+    Items are column names (ascending, nulls first) or `(name, descending,
+    nulls_last)` tuples; descending works for numeric columns (negated).
+    Used with `min_by`, it turns "first row by order" into an aggregate.
+    """
+    fields = []
+    for i, o in enumerate(order):
+        name, desc, nulls_last = (o, False, False) if isinstance(o, str) else o
+        c = F.col(name)
+        if desc:
+            if not isinstance(df.schema[name].dataType, (T.NumericType,)):
+                raise TypeError(f"descending sort key needs a numeric column: {name}")
+            c = -c
+        fields += [(c.isNull() if nulls_last else c.isNotNull()).alias(f"_n{i}"), c.alias(f"_v{i}")]
+    return F.struct(*fields)
+
+
 def dedupe_rows(df: DataFrame) -> DataFrame:
     """Drop fully equal rows."""
     return df.dropDuplicates()

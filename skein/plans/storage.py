@@ -159,8 +159,7 @@ def q_sink_bars(spark, sf_dir):
     # prepare_bars drops exact duplicates first; then one row per key (deterministic order)
     prepared = sinks.prepare_bars(new, "1m")
     one = tables.dedupe_first_by_key(prepared, ["symbol", "granularity", "date"],
-                                     [F.col(c).asc_nulls_last() for c in ("open", "high", "low", "close")]
-                                     + [F.col("volume")])
+                                     [(c, False, True) for c in ("open", "high", "low", "close")] + ["volume"])
     return tables.upsert_coalesce(store, one, ["symbol", "granularity", "date"])
 
 

@@ -67,3 +67,14 @@ def test_latest_setting_tombstones(spark):
     req = spark.createDataFrame([("p", "k"), ("p", "j")], "project string, key string")
     vals = {r.key: r.value for r in tables.get_setting(tables.latest_setting(log), req, "dflt").collect()}
     assert vals == {"k": "2", "j": "dflt"}
+
+
+def test_dedupe_first_by_key_sort_specs(spark):
+    df = spark.createDataFrame([(1, None, 5.0), (1, 2.0, 1.0), (1, 3.0, 9.0), (2, None, 1.0)],
+                               "k long, a double, b double")
+    nulls_last = {r.k: (r.a, r.b) for r in tables.dedupe_first_by_key(df, ["k"], [("a", False, True)]).collect()}
+    assert nulls_last == {1: (2.0, 1.0), 2: (None, 1.0)}
+    nulls_first = {r.k: (r.a, r.b) for r in tables.dedupe_first_by_key(df, ["k"], ["a"]).collect()}
+    assert nulls_first[1] == (None, 5.0)
+    desc_b = {r.k: (r.a, r.b) for r in tables.dedupe_first_by_key(df, ["k"], [("b", True, False)]).collect()}
+    assert desc_b[1] == (3.0, 9.0)
