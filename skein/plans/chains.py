@@ -58,7 +58,7 @@ def q_maximal_chains(spark, sf_dir):
 
 
 @register("anti_prefix_rows", sql_with(["messages"], """
-select r.chat_id, r.first_msg_id, r.last_msg_id, len(r.msg_chain) as chain_len from roots r
+select r.chat_id, r.first_msg_id, r.last_msg_id, cast(len(r.msg_chain) as int) as chain_len from roots r
 where not exists (select 1 from messages c where c.chat_id = r.chat_id and c.reply_to_message_id = r.last_msg_id)""",
     extra=WALK + ",\n" + ROOTS, recursive=True))
 def q_anti_prefix_rows(spark, sf_dir):
@@ -132,7 +132,7 @@ def q_message_threads(spark, sf_dir):
 
 
 @register("anti_prefix_threads", sql_with(["messages"], """
-select k.chat_id, k.last_msg_id, len(k.msg_id_chain) as chain_len from kept k""", extra=THREADS_SQL,
+select k.chat_id, k.last_msg_id, cast(len(k.msg_id_chain) as int) as chain_len from kept k""", extra=THREADS_SQL,
     recursive=True))
 def q_anti_prefix_threads(spark, sf_dir):
     t = threads.message_threads(fixture(spark, sf_dir).messages, THREAD_START, THREAD_END)

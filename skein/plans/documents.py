@@ -56,7 +56,7 @@ def _flat(f):
 
 @register("scan_raw_messages", sql_with(["raw_docs"], f"""
 select id, {sx('chat', 'id')} as chat_id, date, text, caption, views, {sx('from_user', 'first_name')} as first_name,
-  len({sx('reactions', 'reactions')}) as n_reactions, {sx('poll', 'question')} as question from raw_docs"""))
+  cast(len({sx('reactions', 'reactions')}) as int) as n_reactions, {sx('poll', 'question')} as question from raw_docs"""))
 def q_scan_raw_messages(spark, sf_dir):
     """Documents written as JSON lines to the shared scratch folder, read back with the schema."""
     f = fixture(spark, sf_dir)
@@ -270,7 +270,8 @@ def q_reaction_text(spark, sf_dir):
 
 @register("doc_any_text", sql_with(["raw_docs"], f"""
 select {sx('chat', 'id')} as "from", date, coalesce(text, caption, {sx('poll', 'question')}) as text,
-  len({sx('poll', 'options')}) as n_responses, len({sx('reactions', 'reactions')}) as n_reactions, id as message_id
+  cast(len({sx('poll', 'options')}) as int) as n_responses, cast(len({sx('reactions', 'reactions')}) as int) as n_reactions,
+  id as message_id
 from raw_docs where text is not null or caption is not null or {sx('poll', 'question')} is not null"""))
 def q_doc_any_text(spark, sf_dir):
     d = normalize.doc_any_text(fixture(spark, sf_dir).raw_docs)

@@ -9,7 +9,8 @@ from .fixtures import fixture, sql_with
 from .registry import register
 
 
-@register("hour_shift", sql_with(["messages"], "select chat_id, message_id, (hour(date) + 3) % 24 as hour from messages"))
+@register("hour_shift", sql_with(["messages"], "select chat_id, message_id, cast((hour(date) + 3) % 24 as int) as hour "
+                                  "from messages"))
 def q_hour_shift(spark, sf_dir):
     m = fixture(spark, sf_dir).messages
     return m.select("chat_id", "message_id", S.hour_shift("date").alias("hour"))
@@ -33,8 +34,8 @@ def q_full_name(spark, sf_dir):
 
 
 @register("date_parts", sql_with(["stocks"], """
-select symbol, date, year(date) * 100 + month(date) as yyyymm, day(date) as day, hour(date) as hour,
-  minute(date) as minute, second(date) as second,
+select symbol, date, cast(year(date) * 100 + month(date) as int) as yyyymm, cast(day(date) as int) as day,
+  cast(hour(date) as int) as hour, cast(minute(date) as int) as minute, cast(second(date) as int) as second,
   make_timestamp(cast(year(date) as bigint), cast(month(date) as bigint), cast(day(date) as bigint),
     cast(hour(date) as bigint), cast(minute(date) as bigint), cast(second(date) as double)) = date as roundtrip
 from stocks"""))
@@ -238,7 +239,7 @@ def _params(f):
 
 @register("parse_search_params", sql_with([], """
 select event_id, m['textlike'] as textlike, m['chat_id'] as chat_id, m['limit'] as "limit",
-  m['textlike'] is null and m['textcos'] is null as missing_text, cardinality(m) as n_params
+  m['textlike'] is null and m['textcos'] is null as missing_text, cast(cardinality(m) as int) as n_params
 from (select event_id, map_from_entries(list_transform(list_filter(list_transform(string_split(params, ';;;'),
   lambda x: trim(x)), lambda x: x <> ''), lambda x: {'key': split_part(x, ' ', 1),
   'value': case when position(' ' in x) > 0 then substr(x, position(' ' in x) + 1) end})) as m from ps)""",

@@ -100,7 +100,7 @@ def q_refresh_window(spark, sf_dir):
 
 @register("fetch_progress", sql_with(["messages", "chats"], """
 select total_left, saved, round(rate + 1e-9, 4) as rate, round(remaining_seconds + 1e-9, 4) as remaining_seconds
-from (select sum(leftovers) as total_left,
+from (select cast(sum(leftovers) as bigint) as total_left,
   (select count(*) from messages where date >= timestamp '2024-01-30') as saved from lefts),
   lateral (select cast(saved as double) / 3600.0 as rate),
   lateral (select case when rate <> 0 then cast(total_left - saved as double) / rate end as remaining_seconds)""",
@@ -114,7 +114,7 @@ def q_fetch_progress(spark, sf_dir):
                     round4("remaining_seconds").alias("remaining_seconds"))
 
 
-@register("dialog_message_sum", sql_with(["messages", "chats"], "select sum(top_message_id) as message_upper_bound "
+@register("dialog_message_sum", sql_with(["messages", "chats"], "select cast(sum(top_message_id) as bigint) as message_upper_bound "
                                          "from dialogs", extra=DIALOGS_SQL))
 def q_dialog_message_sum(spark, sf_dir):
     return planning.dialog_message_sum(_dialogs(fixture(spark, sf_dir)))

@@ -160,7 +160,7 @@ WORDS = r"regexp_matches(lower(coalesce({c}, '')), '[\p{{L}}\p{{N}}]')"
 
 
 @register("embed_batch", sql_with(["messages"], f"""
-select chat_id, message_id, 64 as dim, case when {WORDS.format(c='text')} then 1.0 else 0.0 end as norm
+select chat_id, message_id, 64 as dim, cast(case when {WORDS.format(c='text')} then 1.0 else 0.0 end as double) as norm
 from messages"""))
 def q_embed_batch(spark, sf_dir):
     m = fixture(spark, sf_dir).messages.select("chat_id", "message_id", "text")
@@ -168,7 +168,7 @@ def q_embed_batch(spark, sf_dir):
 
 
 @register("embed_doc", sql_with(["raw_docs"], f"""
-select struct_extract(chat, 'id') as cid, id as mid, 32 as dim, 1.0 as norm
+select struct_extract(chat, 'id') as cid, id as mid, 32 as dim, cast(1.0 as double) as norm
 from raw_docs where (text is not null or caption is not null) and reply_to_message_id is null
   and reactions is not null and forwards is not null
   and (len(struct_extract(reactions, 'reactions')) = 0 or list_bool_and(list_transform(
@@ -197,7 +197,7 @@ def q_embed_pending_loop(spark, sf_dir):
 
 @register("poll_option_vectors", sql_with(["raw_docs"], """
 select distinct struct_extract(chat, 'id') as chat_id, id as message_id, struct_extract(o, 'text') as poll_option_text,
-  16 as dim, 1.0 as norm from (select *, unnest(struct_extract(poll, 'options')) as o from raw_docs
+  16 as dim, cast(1.0 as double) as norm from (select *, unnest(struct_extract(poll, 'options')) as o from raw_docs
   where not coalesce(outgoing, false) and struct_extract(chat, 'id') is not null and id is not null)"""))
 def q_poll_option_vectors(spark, sf_dir):
     from ..operators import normalize

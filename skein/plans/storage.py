@@ -184,7 +184,7 @@ def q_layout_hash(spark, sf_dir):
 
 
 @register("layout_bars", sql_with(["stocks"], """
-select symbol, granularity, date, open, close, volume, year(date) as year from stocks
+select symbol, granularity, date, open, close, volume, cast(year(date) as int) as year from stocks
 where granularity = '5m' and year(date) = 1995"""))
 def q_layout_bars(spark, sf_dir):
     s = fixture(spark, sf_dir).stocks
