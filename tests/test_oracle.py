@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tools.check_oracle import TABLES, digest, norm
+from tools.check_oracle import TABLES, digest, norm, spark_to_duck
 
 SF = os.environ.get("SKEIN_TEST_SF", "/root/testdata/sf0.001")
 KEYS = sorted(entry.queries())
@@ -43,5 +43,7 @@ def test_query_matches_oracle(spark, con, key):
     idx = {c: i for i, c in enumerate(dcols)}
     drows = [tuple(norm(r[idx[c]]) for c in sorted(dcols)) for r in res.fetchall()]
     assert sorted(cols) == sorted(dcols)
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    assert {f.name: spark_to_duck(f.dataType.simpleString()) for f in df.schema.fields} == dtypes
     assert len(srows) == len(drows)
     assert digest(srows) == digest(drows)
