@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, url_filter
+from . import bpe, decontaminate, pii, quality_rules, simhash, url_filter
 from .common import text_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,22 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@register
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(documents(spark, sf_dir))
+
+
+@register
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir), drop_text=True)
+
+
+@register
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hex_print("fp").alias("fingerprint"), "component_id")
+
+
 @register
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(documents(spark, sf_dir), word_bpe())
