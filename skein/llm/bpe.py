@@ -55,6 +55,16 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def plain_text(text: str) -> bool:
+    """Whether the text can be cut by `plain_pieces`: characters below U+0250, no special token."""
+    return _LATIN.fullmatch(text) is not None and "<|" not in text
+
+
+def plain_pieces(text: str) -> list[str]:
+    """Lower-cased pre-tokens of a plain text (NFC changes none of its characters)."""
+    return _WORD.findall(text.lower())
+
+
 class Bpe:
     """Tables of one tokenizer file. Words are strings over a working alphabet of
     one character per byte; the last one is shifted by `_END`."""
@@ -110,7 +120,7 @@ class Bpe:
     # -- text preparation ---------------------------------------------------
     def pieces(self, text: str) -> list[str]:
         if _LATIN.fullmatch(text):
-            return _WORD.findall(text.lower())
+            return plain_pieces(text)
         if self._library is None:
             from tokenizers import Tokenizer
             self._library = Tokenizer.from_file(self.path)

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, pii, quality_rules, simhash, url_filter
+from . import bpe, decontaminate, pii, quality_rules, simhash, token_files, url_filter
 from .common import text_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+@register
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(documents(spark, sf_dir), word_bpe())
+
+
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 ORACLE["op9_url_filter"] = f"""
 with rules(rh, rp, rv) as (values {_RULE_ROWS}),
