@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html_text, pii, quality_rules, simhash, token_files, url_filter
+from . import bpe, decontaminate, html_text, pii, quality_rules, simhash, suffix_tree, token_files, url_filter
 from .common import text_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@register
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(documents(spark, sf_dir))
+
+
 @register
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(documents(spark, sf_dir))
