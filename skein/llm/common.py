@@ -78,6 +78,31 @@ def map_texts(df: DataFrame, text_col: str, fn: Callable[[list[str | None]], dic
     return df.select(*need).mapInArrow(run, schema)
 
 
+class Memo:
+    """A bounded cache for values of words: two generations of at most `limit` entries.
+
+    When the young generation is full it becomes the old one; what is asked for again
+    moves back, so frequent words stay and rare ones go."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def all_of(self, keys: set, compute: Callable[[list], Sequence]) -> dict:
+        """A dict that holds the values of all `keys`; `compute` gives those of unknown ones."""
+        missing = [k for k in keys if k not in self.young]
+        if missing and len(self.young) + len(missing) > self.limit:
+            self.young, self.old = {}, self.young
+            missing = list(keys)
+        if missing:
+            old = self.old
+            unknown = [k for k in missing if k not in old]
+            self.young.update((k, old[k]) for k in missing if k in old)
+            self.young.update(zip(unknown, compute(unknown)))
+        return self.young
+
+
 def text_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and text columns, as `doc_id` and `text` (other columns, also
     of clashing names, are not read)."""

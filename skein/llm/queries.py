@@ -8,9 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, pii, quality_rules, simhash, suffix_tree, token_files, url_filter
-from .common import text_table
+from . import bpe, decontaminate, html_text, pii, quality_rules, simhash, suffix_tree, token_files, toxicity, url_filter
+from .common import in_training, text_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,6 +46,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(documents(spark, sf_dir))
 
 
+@register
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(toxicity.training_sample(docs, table(spark, sf_dir, "labels")))
+    held_out = ~F.coalesce(in_training("doc_id", toxicity.MODULUS), F.lit(True))
+    return toxicity.score(docs.withColumn("held_out", held_out), model)
+
+
 @register
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir), drop_text=True)
