@@ -35,7 +35,6 @@ import hashlib
 import math
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -47,7 +46,7 @@ from .common import Memo, in_training, map_texts
 
 MODULUS = 5
 #: Largest number of labelled documents the classifier is fitted on.
-TRAIN_DOCS = 4000
+TRAIN_DOCS = 2000
 LANDMARKS = 32
 ORDINARY = 32
 DECAY = 0.85
@@ -150,7 +149,7 @@ class Landmarks:
 
     def against(self, words: Sequence[str]) -> np.ndarray:
         """Kernel of every word with every landmark: normalised, raised to `POWER`."""
-        out = np.zeros((len(words), self.rows.shape[1]))
+        out = np.zeros((len(words), self.rows.shape[1]), np.float32)
         for n, places in by_length(words).items():
             if n < 3:
                 continue
@@ -165,7 +164,8 @@ class Landmarks:
                 codes = letters([words[p] for p in some])
                 size = norms(codes)
                 out[some] = self.products(codes) * np.divide(1.0, size, out=np.zeros_like(size), where=size > 0)[:, None]
-        return np.maximum(out, 0) ** POWER
+        np.maximum(out, 0, out=out)
+        return np.power(out, POWER, out=out)
 
 
 def triples(word: str) -> np.ndarray:
@@ -231,18 +231,24 @@ class Model:
 
 def fit_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
     """Linear squared-hinge machine by Newton steps on the rows inside the margin (last weight: bias)."""
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
-    ridge = penalty * np.eye(len(w))
+    n = x.shape[1] + 1
+    w = np.zeros(n)
+    ridge = penalty * np.eye(n)
     ridge[-1, -1] = 1e-6
     before = None
     for _ in range(50):
-        active = y * (x @ w) < 1
+        active = y * (x @ w[:-1] + w[-1]) < 1
         if before is not None and (active == before).all():
             break
         before = active
-        xa, ca = x[active], cost[active]
-        w = np.linalg.solve(ridge + (xa * ca[:, None]).T @ xa, (xa * ca[:, None]).T @ y[active])
+        left, right, inside = ridge.copy(), np.zeros(n), np.flatnonzero(active)
+        for a in range(0, len(inside), 8192):
+            some = inside[a:a + 8192]
+            xa = np.column_stack([x[some], np.ones(len(some))])
+            xc = xa * cost[some][:, None]
+            left += xc.T @ xa
+            right += xc.T @ y[some]
+        w = np.linalg.solve(left, right)
     return w
 
 
@@ -259,23 +265,18 @@ def fit_logistic(decision: np.ndarray, label: np.ndarray) -> tuple[float, float]
     return float(w[0]), float(w[1])
 
 
-def choose_landmarks(words: list[set[str]], label: np.ndarray) -> list[str]:
+def choose_landmarks(docs: list[np.ndarray], words: list[str], label: np.ndarray) -> list[str]:
     """Words most associated with toxic documents, and ordinary words (frequent ones and, in hash
-    order, others)."""
-    toxic, clean = Counter(), Counter()
-    for ws, y in zip(words, label):
-        (toxic if y else clean).update(ws)
+    order, others).  `docs`: the distinct word numbers of each document."""
+    toxic, clean = (sum((np.bincount(d, minlength=len(words)) for d, y in zip(docs, label) if (y > 0) == side),
+                        np.zeros(len(words), np.int64)) for side in (True, False))
     a, b = int(label.sum()), int((1 - label).sum())
-
-    def association(w):
-        p, q = (toxic[w] + 0.5) / (a + 1), (clean[w] + 0.5) / (b + 1)
-        return toxic[w] * math.log(p / q)
-
-    named = sorted((w for w in toxic if len(w) >= 4 and toxic[w] > 1), key=lambda w: (-association(w), w))[:LANDMARKS]
-    left = [w for w in clean if len(w) >= 4 and w not in set(named)]
-    common = sorted(left, key=lambda w: (-clean[w], w))[:ORDINARY // 2]
-    rest = sorted(set(left) - set(common), key=lambda w: hashlib.md5(w.encode("utf-8", "surrogatepass")).digest())
-    return named + common + rest[:ORDINARY - len(common)]
+    gain = toxic * np.log((toxic + 0.5) / (a + 1) * (b + 1) / (clean + 0.5))
+    long = np.array([len(w) >= 4 for w in words], bool)
+    named = sorted(np.flatnonzero(long & (toxic > 1)), key=lambda i: (-gain[i], words[i]))[:LANDMARKS]
+    left = sorted(set(np.flatnonzero(long & (clean > 0))) - set(named), key=lambda i: (-clean[i], words[i]))
+    rest = sorted(left[ORDINARY // 2:], key=lambda i: hashlib.md5(words[i].encode("utf-8", "surrogatepass")).digest())
+    return [words[i] for i in [*named, *left[:ORDINARY // 2], *rest[:ORDINARY - ORDINARY // 2]]]
 
 
 def fit(rows: Sequence[tuple[str | None, int]]) -> Model:
@@ -285,35 +286,35 @@ def fit(rows: Sequence[tuple[str | None, int]]) -> Model:
     flat = Model(None, None, 0.0, 0.0, math.log(share / (1 - share)))
     if not len(label) or label.min() == label.max():
         return flat
-    docs = [tokens(t) for t, _ in rows]
     place: dict[str, int] = {}
-    plain: list[str] = []
+    distinct: dict[str, int] = {}
+    word_of: list[int] = []
     ends: list[bool] = []
     codes = []
-    for ts in docs:
-        for t in ts:
+    for text, _ in rows:
+        row = tokens(text)
+        for t in row:
             if t not in place:
                 place[t] = len(place)
-                plain.append(bare(t))
+                word_of.append(distinct.setdefault(bare(t), len(distinct)))
                 ends.append(ends_sentence(t))
-        codes.append(np.array([place[t] for t in ts], np.int64))
-    marks = choose_landmarks([{plain[c] for c in set(cs.tolist())} for cs in codes], label)
+        codes.append(np.fromiter(map(place.__getitem__, row), np.int32, len(row)))
+    word, ends_array, words = np.array(word_of, np.int32), np.array(ends, bool), list(distinct)
+    del place, word_of, ends, distinct
+    marks = choose_landmarks([np.unique(word[cs]) for cs in codes], words, label) if words else []
     if not marks:
         return flat
     landmarks = Landmarks(marks)
-    distinct = {w: i for i, w in enumerate(dict.fromkeys(plain))}
-    kernel = landmarks.against(list(distinct))
-    values, vectors = np.linalg.eigh(landmarks.against(marks))
-    good = values > 1e-8 * values.max()
+    values, vectors = np.linalg.eigh(landmarks.against(marks).astype(float))
+    good = values > 1e-6 * values.max()
     whiten = vectors[:, good] / np.sqrt(values[good])
-    embedded = (kernel @ whiten)[np.array([distinct[w] for w in plain])]
-    ends_array = np.array(ends)
+    embedded = landmarks.against(words) @ whiten.astype(np.float32)
 
     sums, owner = [], []
     for d, cs in enumerate(codes):
         if len(cs):
             ids = sentence_ids(ends_array[cs])
-            sums.append(np.add.reduceat(embedded[cs], np.flatnonzero(np.diff(ids, prepend=-1)), axis=0))
+            sums.append(np.add.reduceat(embedded[word[cs]], np.flatnonzero(np.diff(ids, prepend=-1)), axis=0))
             owner += [d] * (int(ids[-1]) + 1)
     if not sums:
         return flat
