@@ -70,27 +70,39 @@ def optional_filters(messages: DataFrame, chats: DataFrame | None = None, chat_i
     return m
 
 
+def _known_chats(messages: DataFrame, chats: DataFrame) -> DataFrame:
+    """Messages whose chat is in `chats` (the search's inner join, as a semi join before the limit)."""
+    return messages.join(chats.select("chat_id"), "chat_id", "left_semi")
+
+
+def _with_title(top: DataFrame, chats: DataFrame, columns: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """Add the chat title to the k found rows and put them back in order (the join loses it)."""
+    titles = chats.select("chat_id", "title").dropDuplicates(["chat_id"])
+    return top.join(titles, "chat_id", "left").select(*columns).orderBy(*order)
+
+
 def vector_search(messages: DataFrame, chats: DataFrame, query, k: int = DEFAULT_K,
                   metric: str = "l2", keys: Sequence[str] = ("chat_id", "message_id"), **filters) -> DataFrame:
-    """Filters, embedding not null, nearest k by distance -> (title, date, text, distance).
+    """Messages of known chats, filters, embedding not null, nearest k by distance
+    -> (title, date, text, distance), nearest first.
 
     Ties are broken by the message key so the result is deterministic.
     """
-    m = optional_filters(messages, chats, **filters).filter(F.col("embedding").isNotNull())
+    m = _known_chats(optional_filters(messages, chats, **filters), chats).filter(F.col("embedding").isNotNull())
     dist = l2_distance("embedding", query) if metric == "l2" else cosine_distance("embedding", query)
-    top = (m.select(*keys, "date", "text", dist.alias("distance"))
-           .orderBy(F.col("distance").asc_nulls_last(), *[F.col(c) for c in keys]).limit(k))
-    return top.join(chats.select("chat_id", "title"), "chat_id").select(*keys, "title", "date", "text", "distance")
+    order = [F.col("distance").asc_nulls_last(), *[F.col(c) for c in keys]]
+    top = m.select(*keys, "date", "text", dist.alias("distance")).orderBy(*order).limit(k)
+    return _with_title(top, chats, [*keys, "title", "date", "text", "distance"], order)
 
 
 def like_search(messages: DataFrame, chats: DataFrame, text: str, k: int | None = DEFAULT_K, **filters) -> DataFrame:
     """Same filters, `text LIKE %text%`; newest first (the reference leaves the order open)."""
-    m = optional_filters(messages, chats, **filters).filter(F.col("embedding").isNotNull())
-    m = m.filter(F.col("text").contains(text))
-    m = m.select("chat_id", "message_id", "date", "text").orderBy(F.col("date").desc(), "chat_id", "message_id")
+    m = _known_chats(optional_filters(messages, chats, **filters), chats).filter(F.col("embedding").isNotNull())
+    order = [F.col("date").desc(), "chat_id", "message_id"]
+    m = m.filter(F.col("text").contains(text)).select("chat_id", "message_id", "date", "text")
     if k is not None:
-        m = m.limit(k)
-    return m.join(chats.select("chat_id", "title"), "chat_id").select("chat_id", "message_id", "title", "date", "text")
+        m = m.orderBy(*order).limit(k)
+    return _with_title(m, chats, ["chat_id", "message_id", "title", "date", "text"], order)
 
 
 def find_chats(chats: DataFrame, search: str, case_insensitive: bool = False) -> DataFrame:
@@ -144,7 +156,9 @@ def pandas_encoder(load_model: Callable[[], Callable[[list[str]], list[list[floa
                 vecs = []
                 for i in range(0, len(texts), batch):
                     vecs.extend(model(texts[i:i + batch]))
-                pdf[out_col] = [list(map(float, v))[:dim] for v in vecs]
+                if any(len(v) != dim for v in vecs):
+                    raise ValueError(f"the model returned a vector that does not have {dim} values")
+                pdf[out_col] = [list(map(float, v)) for v in vecs]
                 yield pdf
         return df.mapInPandas(run, schema)
     return encode
@@ -170,8 +184,12 @@ def channel_responses(chains: DataFrame, chat_ids: DataFrame, min_len: int = 5)
 
 def append_embeddings(store: DataFrame, new: DataFrame, dim: int,
                       keys: Sequence[str] = ("chat_id", "last_message_id")) -> DataFrame:
-    """Append vectors of the right dimension whose key is not stored with a vector yet."""
-    ok = new.filter(F.size("embedding") == dim).dropDuplicates(list(keys))
+    """Append vectors of the right dimension whose key is not stored with a vector yet.
+    Of repeated keys the smallest vector (by values) is taken, so that a retry appends the same row."""
+    rest = [c for c in new.columns if c not in keys]
+    row = F.struct("embedding", *[c for c in rest if c != "embedding"])
+    ok = (new.filter(F.size("embedding") == dim).groupBy(*keys).agg(F.min(row).alias("_row"))
+          .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*new.columns))
     fresh = pending_chains(ok, store, keys)
     kept = store.join(fresh.select(*keys), list(keys), "left_anti")  # a null-vector row is replaced
     return kept.unionByName(fresh.select(*store.columns))

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, cut_lineage_counting
 
 MAX_ROUNDS = 64
-VISITED_COMPACT_EVERY = 4
 NEXT_MSG = "<<NEXTMSG>>"
 
 
@@ -79,6 +78,67 @@ def paths(messages: DataFrame, parent: str = "reply_to_message_id", max_rounds:
     raise RuntimeError(f"reply walk did not settle within {max_rounds} doubling rounds")
 
 
+def jump_tables(messages: DataFrame, parent: str = "reply_to_message_id") -> tuple[list[DataFrame], DataFrame | None]:
+    """Tables `(chat_id, id, up)`: table k leads from a message 2**k existing links up.
+
+    Table k + 1 is table k joined with itself, so only messages that deep are left in it and a
+    thread of depth D takes log2(D) rounds without any arrays.  Messages whose walk never ends
+    (links in a circle) are returned as a second table `(chat_id, id)`: they are still there
+    when the jump is longer than the number of links.
+    """
+    ids = messages.select("chat_id", F.col("message_id").alias("up"))
+    edges = _edges(messages, parent).filter(F.col("ptr").isNotNull()).withColumnRenamed("ptr", "up")
+    step, left = cut_lineage_counting(
+        edges.join(ids, ["chat_id", "up"], "left_semi").select("chat_id", "id", "up"), F.lit(True))
+    links, tables = left, []
+    while left:
+        if 2 ** len(tables) > links:
+            return tables, step.select("chat_id", "id")
+        tables.append(step)
+        over = step.select("chat_id", F.col("id").alias("up"), F.col("up").alias("_up"))
+        step, left = cut_lineage_counting(
+            step.join(over, ["chat_id", "up"]).select("chat_id", "id", F.col("_up").alias("up")), F.lit(True))
+    return tables, None
+
+
+def paths_from(starts: DataFrame, tables: list[DataFrame], endless: DataFrame | None = None) -> DataFrame:
+    """`(chat_id, start, id, pos)`: the walk of each start, `pos` links above it.
+
+    Every number of links has one binary form, so taking each jump or not, the longest first,
+    meets every ancestor of a start once: D rows for a walk of depth D.  Starts on endless walks
+    are left out.
+    """
+    cur = starts.select("chat_id", F.col("message_id").alias("start"), F.col("message_id").alias("id"), F.lit(0).alias("pos"))
+    if endless is not None:
+        cur = cur.join(endless, ["chat_id", "id"], "left_anti").select("chat_id", "start", "id", "pos")
+    for k in reversed(range(len(tables))):
+        here = F.struct("id", "pos")
+        there = F.struct(F.col("up").alias("id"), (F.col("pos") + F.lit(2 ** k)).cast("int").alias("pos"))
+        cur = (cur.join(tables[k], ["chat_id", "id"], "left")
+               .select("chat_id", "start", F.explode(F.when(F.col("up").isNull(), F.array(here)).otherwise(F.array(here, there))).alias("_s"))
+               .select("chat_id", "start", "_s.id", "_s.pos"))
+    return cur
+
+
+def leaf_walks(messages: DataFrame) -> DataFrame:
+    """`paths_from` every leaf: nothing is built for other messages."""
+    tables, endless = jump_tables(messages)
+    return paths_from(leaves(messages), tables, endless)
+
+
+def _to_root(walks: DataFrame, messages: DataFrame, cols: Sequence[str] = ()) -> DataFrame:
+    """One row per start whose walk ends at a message without a parent: `(chat_id, start, root_id,
+    items)`, items root first with the message columns `cols`."""
+    m = messages.select("chat_id", F.col("message_id").alias("id"), *cols)
+    x = walks.join(m, ["chat_id", "id"]) if cols else walks
+    g = x.groupBy("chat_id", "start").agg(
+        F.max_by("id", "pos").alias("root_id"),
+        F.sort_array(F.collect_list(F.struct("pos", "id", *cols)), asc=False).alias("items"))
+    roots = (messages.filter(F.col("reply_to_message_id").isNull())
+             .select("chat_id", F.col("message_id").alias("root_id")))
+    return g.join(roots, ["chat_id", "root_id"], "left_semi")
+
+
 def gather(chains: DataFrame, messages: DataFrame, keys: Sequence[str], chain_col: str,
            cols: Sequence[str]) -> DataFrame:
     """For each chain of ids, arrays of `cols` in chain order (nulls kept).
@@ -179,9 +239,8 @@ def anti_prefix_rows(chains: DataFrame, messages: DataFrame) -> DataFrame:
 
 def maximal_chains(messages: DataFrame) -> DataFrame:
     """Root-first chains that reach a root and end at a leaf."""
-    c = anti_prefix_rows(chains_to_root(messages), messages)
-    return c.select("chat_id", F.col("first_msg_id").alias("root_id"), F.col("last_msg_id").alias("leaf_id"),
-                    F.reverse("msg_chain").alias("msg_chain"))
+    g = _to_root(leaf_walks(messages), messages)
+    return g.select("chat_id", "root_id", F.col("start").alias("leaf_id"), F.transform("items", _field("id")).alias("msg_chain"))
 
 
 # G06 ----------------------------------------------------------------------
@@ -195,15 +254,12 @@ def message_threads(messages: DataFrame, start, end=None, chat_ids: Sequence[int
         m = m.filter(F.col("date") <= F.lit(str(end)).cast("timestamp_ntz"))
     if chat_ids is not None:
         m = m.filter(F.col("chat_id").isin(list(chat_ids)))
-    p = paths(m)
-    kept = (p.filter(F.col("ptr").isNull() & ~F.col("cycle"))
-            .select("chat_id", F.col("id").alias("last_msg_id"), F.col("path").alias("msg_id_chain")))
-    # t2.last_reply_to = t1.last_msg_id within the kept set
-    starts = m.select("chat_id", F.col("message_id").alias("t2"), F.col("reply_to_message_id").alias("last_msg_id"))
-    ext = kept.select("chat_id", F.col("last_msg_id").alias("t2")).join(starts, ["chat_id", "t2"])
-    t = kept.join(ext.select("chat_id", "last_msg_id"), ["chat_id", "last_msg_id"], "left_anti")
-    g = gather(t, m, ["chat_id", "last_msg_id"], "msg_id_chain", ["sender_id", "text"])
-    return g.select("chat_id", "msg_id_chain", "sender_id_chain", "text_chain")
+    # A thread extended by another kept thread ends at a message with a reply in the window,
+    # and every thread through that reply is kept as well; so the maximal threads end at leaves
+    g = _to_root(leaf_walks(m), m, ["sender_id", "text"])
+    return g.select("chat_id", F.transform("items", _field("id")).alias("msg_id_chain"),
+                    F.transform("items", _field("sender_id")).alias("sender_id_chain"),
+                    F.transform("items", _field("text")).alias("text_chain"))
 
 
 # G08 ----------------------------------------------------------------------
@@ -216,21 +272,14 @@ def message_chain(messages: DataFrame, chats: DataFrame) -> DataFrame:
     the per-message flag along the chain.
     """
     m = linked_sender(messages, chats)
-    p = paths(m)
-    lv = leaves(m).select("chat_id", F.col("message_id").alias("id"))
-    lp = p.join(lv, ["chat_id", "id"], "left_semi").select(
-        "chat_id", F.col("id").alias("last_message_id"), F.reverse("path").alias("chain_ids"))
-    j = gather(lp, m, ["chat_id", "last_message_id"], "chain_ids", ["text", "sent_by_linked_chat"])
-    texts = F.col("text_chain")
-    return j.select(
-        "chat_id",
-        F.exists("sent_by_linked_chat_chain", lambda x: F.coalesce(x, F.lit(False))).alias("sent_by_linked_chat"),
-        F.element_at("chain_ids", -1).alias("first_message_id"),
-        "last_message_id",
-        F.when(F.exists(texts, lambda x: x.isNull()), F.lit(None).cast("string"))
-         .otherwise(F.array_join(texts, NEXT_MSG)).alias("chain"),
-        F.size("chain_ids").alias("chain_len"),
-    )
+    src = m.select("chat_id", F.col("message_id").alias("id"), "text", "sent_by_linked_chat")
+    g = leaf_walks(m).join(src, ["chat_id", "id"]).groupBy("chat_id", "start").agg(
+        F.max("sent_by_linked_chat").alias("sent_by_linked_chat"), F.max_by("id", "pos").alias("first_message_id"),
+        F.max(F.col("text").isNull()).alias("_null_text"), F.count(F.lit(1)).cast("int").alias("chain_len"),
+        F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("_items"))
+    chain = F.array_join(F.transform("_items", _field("text")), NEXT_MSG)
+    return g.select("chat_id", "sent_by_linked_chat", "first_message_id", F.col("start").alias("last_message_id"),
+                    F.when(~F.col("_null_text"), chain).alias("chain"), "chain_len")
 
 
 # J13 / J14 ---------------------------------------------------------------------
@@ -270,66 +319,53 @@ CLOSURE_COLS = ["chat_id", "message_id", "sender_id", "text", "reply_to_message_
 
 
 def ancestor_closure(seed: DataFrame, messages: DataFrame, replies: bool = True, forwards: bool = False,
-                     distinct: bool = False, max_depth: int = 10_000) -> DataFrame:
+                     distinct: bool = False) -> DataFrame:
     """Seed rows plus their reply parents and/or forward sources, repeatedly.
 
-    `distinct=False` keeps duplicates like UNION ALL (a message reachable from
-    k seeds appears k times); `distinct=True` returns each reachable message
-    once and is safe on cyclic forward links.  Reply-only closures with
-    duplicates are read off the doubling walk (log depth rounds); the other
-    modes expand a frontier one link per round.  A frontier still non-empty
-    after `max_depth` rounds raises instead of truncating the result.
+    `distinct=False` keeps duplicates like UNION ALL (a message reachable from k seeds, or in k
+    ways, appears k times); `distinct=True` returns each reachable message once and is safe on
+    cyclic links (with duplicates a cycle has no end: an error).  `seed`: rows of `messages`.
+
+    With A the links, everything reachable is (1 + A) (1 + A^2) (1 + A^4) ...: the powers are
+    squared until none is left and the seed is multiplied through them, the longest first, so a
+    closure of depth D takes 2 log2(D) rounds.  Numbers of ways are counted, not rows repeated.
     """
     cols = [c for c in CLOSURE_COLS if c in messages.columns]
-    if replies and not forwards and not distinct:
-        p = paths(messages)
-        s = seed.select("chat_id", F.col("message_id").alias("id"))
-        walk = p.join(s, ["chat_id", "id"], "inner").select("chat_id", F.explode("path").alias("message_id"))
-        return walk.join(messages.select(*cols), ["chat_id", "message_id"]).select(*cols)
-    return _frontier_closure(seed.select(*cols), messages.select(*cols), replies, forwards, distinct, max_depth)
-
-
-def _frontier_closure(seed: DataFrame, messages: DataFrame, replies: bool, forwards: bool, distinct: bool,
-                      max_depth: int) -> DataFrame:
-    key = ["chat_id", "message_id"]
-    frontier = seed.distinct() if distinct else seed
-    frontier = cut_lineage(frontier)
-    parts = [frontier]
-    visited, recent = (frontier.select(*key), []) if distinct else (None, [])
-    for _ in range(max_depth):
-        links = []
-        if replies:
-            links.append(frontier.select("chat_id", F.col("reply_to_message_id").alias("message_id")))
-        if forwards:
-            fwd = frontier
-            if replies:  # a source reached by both links counts once, as with an OR join
-                same = ((F.col("forward_from_chat_id") == F.col("chat_id"))
-                        & (F.col("forward_from_message_id") == F.col("reply_to_message_id")))
-                fwd = fwd.filter(~F.coalesce(same, F.lit(False)))
-            links.append(fwd.select(F.col("forward_from_chat_id").alias("chat_id"),
-                                    F.col("forward_from_message_id").alias("message_id")))
-        targets = links[0]
-        for extra in links[1:]:
-            targets = targets.unionByName(extra)
-        targets = targets.filter(F.col("message_id").isNotNull() & F.col("chat_id").isNotNull())
-        if distinct:
-            # visited = a compacted base plus the last few frontiers (all checkpointed and
-            # disjoint): rewritten only every few rounds, and the plan stays narrow
-            seen = visited
-            for p_ in recent:
-                seen = seen.unionByName(p_.select(*key))
-            targets = targets.distinct().join(seen, key, "left_anti")
-        nxt, found = cut_lineage_counting(targets.join(messages, key).select(*messages.columns), F.lit(True))
-        if found == 0:
-            out = parts[0]
-            for p_ in parts[1:]:
-                out = out.unionByName(p_)
-            return out
-        parts.append(nxt)
-        if distinct:
-            recent.append(nxt)
-            if len(recent) >= VISITED_COMPACT_EVERY:
-                visited = cut_lineage(seen.unionByName(nxt.select(*key)))
-                recent = []
-        frontier = nxt
-    raise RuntimeError(f"closure frontier still non-empty after {max_depth} rounds (cycle with duplicates?)")
+    ways = F.lit(1).cast("long")
+    links = []
+    if replies:
+        links.append(messages.select("chat_id", "message_id", F.col("chat_id").alias("to_chat"),
+                                     F.col("reply_to_message_id").alias("to_id")))
+    if forwards:
+        links.append(messages.select("chat_id", "message_id", F.col("forward_from_chat_id").alias("to_chat"),
+                                     F.col("forward_from_message_id").alias("to_id")))
+    total = F.lit(1).cast("long") if distinct else None
+
+    def count(df: DataFrame, keys: list[str], n) -> DataFrame:
+        return df.groupBy(*keys).agg((F.max(total) if distinct else F.sum(n)).alias("n"))
+
+    pair, key = ["chat_id", "message_id", "to_chat", "to_id"], ["chat_id", "message_id"]
+    reached = count(seed.select(*key), key, ways)
+    if links:
+        # a source reached by both links counts once, as with an OR join
+        edges = (links[0] if len(links) == 1 else links[0].unionByName(links[1])).filter("to_chat is not null and to_id is not null").distinct()
+        there = messages.select(F.col("chat_id").alias("to_chat"), F.col("message_id").alias("to_id"))
+        power, left = cut_lineage_counting(
+            edges.join(there, ["to_chat", "to_id"], "left_semi").select(*pair, ways.alias("n")), F.lit(True))
+        n_links, powers = left, []
+        while left and 2 ** len(powers) <= n_links:
+            powers.append(power)
+            on = power.select(F.col("chat_id").alias("to_chat"), F.col("message_id").alias("to_id"), F.col("to_chat").alias("_chat"),
+                              F.col("to_id").alias("_id"), F.col("n").alias("_n"))
+            two = power.join(on, ["to_chat", "to_id"]).select(*key, F.col("_chat").alias("to_chat"), F.col("_id").alias("to_id"), "n", "_n")
+            power, left = cut_lineage_counting(count(two, pair, F.col("n") * F.col("_n")), F.lit(True))
+        if left and not distinct:
+            raise RuntimeError("the links run in a circle: a closure with duplicates has no end")
+        for power in reversed(powers):
+            step = power.withColumnRenamed("n", "_n").join(reached, key).select(
+                F.col("to_chat").alias("chat_id"), F.col("to_id").alias("message_id"), (F.col("n") * F.col("_n")).alias("n"))
+            reached = cut_lineage(count(reached.unionByName(step), key, F.col("n")))
+    rows = reached.join(messages.select(*cols), key)
+    if not distinct:
+        rows = rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int"))))
+    return rows.select(*cols)

@@ -83,16 +83,21 @@ def q_linked_sender(spark, sf_dir):
                                                              "sent_by_linked_chat")
 
 
-CHAIN_SQL = """lm as (select m.*, coalesce(m.sender_id = c.linked_chat_id, false) as f
-  from messages m left join chats c using (chat_id)),
-lv as (select * from lm where not exists (select 1 from lm c where c.chat_id = lm.chat_id
-  and c.reply_to_message_id = lm.message_id)),
-w(chat_id, leaf, cur, parent, chain, n, flag) as (
-  select chat_id, message_id, message_id, reply_to_message_id, text, 1, f from lv
+def chain_sql(source: str = "messages", tag: str = "") -> str:
+    """Walks up from the leaves of `source` with the text joined on the way."""
+    return f"""lm{tag} as (select m.*, coalesce(m.sender_id = c.linked_chat_id, false) as f
+  from {source} m left join chats c using (chat_id)),
+lv{tag} as (select * from lm{tag} l where not exists (select 1 from lm{tag} c where c.chat_id = l.chat_id
+  and c.reply_to_message_id = l.message_id)),
+w{tag}(chat_id, leaf, cur, parent, chain, n, flag) as (
+  select chat_id, message_id, message_id, reply_to_message_id, text, 1, f from lv{tag}
   union all
   select w.chat_id, w.leaf, p.message_id, p.reply_to_message_id, w.chain || '<<NEXTMSG>>' || p.text, w.n + 1,
     w.flag or p.f
-  from w join lm p on p.chat_id = w.chat_id and p.message_id = w.parent)"""
+  from w{tag} w join lm{tag} p on p.chat_id = w.chat_id and p.message_id = w.parent)"""
+
+
+CHAIN_SQL = chain_sql()
 
 
 @register("message_chain", sql_with(["messages", "chats"], """
@@ -105,35 +110,33 @@ def q_message_chain(spark, sf_dir):
 
 
 THREAD_START, THREAD_END = "2024-01-08 00:00:00", "2024-01-22 12:00:00"
-THREADS_SQL = f"""wm as (select * from messages where date >= timestamp '{THREAD_START}'
-  and date <= timestamp '{THREAD_END}'),
-mt(chat_id, last_msg_id, reply_to_message_id, last_reply_to_message_id, msg_id_chain) as (
-  select chat_id, message_id, reply_to_message_id, reply_to_message_id, [message_id] from wm
+#: The ancestor relation inside the window, closed once; then roots, leaves and texts as rules on it.
+THREADS_SQL = f"""wm as materialized (select * from messages where date between timestamp '{THREAD_START}' and timestamp '{THREAD_END}'),
+anc(chat_id, low, high, up) as (
+  select chat_id, message_id, message_id, 0 from wm
   union all
-  select m.chat_id, mt.last_msg_id, m.reply_to_message_id, mt.last_reply_to_message_id,
-    list_prepend(m.message_id, mt.msg_id_chain)
-  from wm m join mt on m.chat_id = mt.chat_id and m.message_id = mt.reply_to_message_id),
-actual as (select chat_id, msg_id_chain, last_reply_to_message_id, last_msg_id from mt
-  where reply_to_message_id is null),
-kept as (select t1.* from actual t1 left join actual t2 on t1.chat_id = t2.chat_id
-  and t1.last_msg_id = t2.last_reply_to_message_id where t2.msg_id_chain is null),
-ex as (select k.chat_id, k.last_msg_id, unnest(k.msg_id_chain) as mid,
-  generate_subscripts(k.msg_id_chain, 1) as pos from kept k),
-g as (select ex.chat_id, ex.last_msg_id, list(m.sender_id order by pos) as sender_id_chain,
-  list(m.text order by pos) as text_chain from ex left join messages m on m.chat_id = ex.chat_id
-  and m.message_id = ex.mid group by ex.chat_id, ex.last_msg_id)"""
+  select a.chat_id, a.low, m.reply_to_message_id, a.up + 1 from anc a
+  join wm m on m.chat_id = a.chat_id and m.message_id = a.high
+  where exists (select 1 from wm p where p.chat_id = m.chat_id and p.message_id = m.reply_to_message_id)),
+rooted as (select a.chat_id, a.low from anc a join wm r on r.chat_id = a.chat_id and r.message_id = a.high
+  where r.reply_to_message_id is null),
+whole as (select * from rooted x where not exists (select 1 from wm c join rooted y on y.chat_id = c.chat_id and y.low = c.message_id
+  where c.chat_id = x.chat_id and c.reply_to_message_id = x.low)),
+threads as (select x.chat_id, x.low, list(a.high order by a.up desc) as ids, list(m.sender_id order by a.up desc) as senders,
+    list(m.text order by a.up desc) as texts
+  from whole x join anc a on a.chat_id = x.chat_id and a.low = x.low join wm m on m.chat_id = a.chat_id and m.message_id = a.high
+  group by x.chat_id, x.low)"""
 
 
 @register("message_threads", sql_with(["messages"], """
-select k.chat_id, k.msg_id_chain, g.sender_id_chain, g.text_chain from kept k
-join g on g.chat_id = k.chat_id and g.last_msg_id = k.last_msg_id""", extra=THREADS_SQL, recursive=True))
+select chat_id, ids as msg_id_chain, senders as sender_id_chain, texts as text_chain from threads""",
+    extra=THREADS_SQL, recursive=True))
 def q_message_threads(spark, sf_dir):
     return threads.message_threads(fixture(spark, sf_dir).messages, THREAD_START, THREAD_END)
 
 
 @register("anti_prefix_threads", sql_with(["messages"], """
-select k.chat_id, k.last_msg_id, cast(len(k.msg_id_chain) as int) as chain_len from kept k""", extra=THREADS_SQL,
-    recursive=True))
+select chat_id, low as last_msg_id, cast(len(ids) as int) as chain_len from threads""", extra=THREADS_SQL, recursive=True))
 def q_anti_prefix_threads(spark, sf_dir):
     t = threads.message_threads(fixture(spark, sf_dir).messages, THREAD_START, THREAD_END)
     return t.select("chat_id", F.element_at("msg_id_chain", -1).alias("last_msg_id"),

@@ -14,7 +14,7 @@ from ..functions import scalars as S
 from ..operators import language, tables, threads
 from ..session import scratch_path
 from ..sources import readers, sinks
-from .chains import CHAIN_SQL
+from .chains import CHAIN_SQL, chain_sql
 from .fixtures import fixture, sql_with
 from .registry import register
 
@@ -67,7 +67,7 @@ def q_membership_in_view(spark, sf_dir):
 @register("sink_export", sql_with(["messages", "chats"], "select * from seed", extra=EXPORT_SQL))
 def q_sink_export(spark, sf_dir):
     seed = _export_seed(fixture(spark, sf_dir))
-    path = scratch_path(spark, "export") + "/" + sinks.default_export_name("hebrew_chats", dt.date(2024, 1, 25), 20)
+    path = scratch_path(spark, "export") + "/hebrew_messages.parquet"
     sinks.export(seed, path)
     return spark.read.parquet(path)
 
@@ -82,12 +82,13 @@ def q_sink_insert(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-DEDUP_1M = """b1 as (select symbol, date, max(open) as open, max(close) as close, max(volume) as volume
-  from stocks where granularity = '1m' group by all)"""
+DEDUP = """b1 as (select symbol, date, max(open) as open, max(close) as close, max(volume) as volume
+  from stocks group by all)"""
 
 
-def _dedup_1m(f):
-    return (f.stocks.filter(F.col("granularity") == "1m").groupBy("symbol", "date")
+def _dedup(f):
+    """One bar per symbol and time, of all granularities."""
+    return (f.stocks.groupBy("symbol", "date")
             .agg(F.max("open").alias("open"), F.max("close").alias("close"), F.max("volume").alias("volume")))
 
 
@@ -100,10 +101,10 @@ full join (select symbol, date, open * 2 as open, close, volume + 1 as volume fr
   on o.symbol = n.symbol and o.date = n.date
 where coalesce(o.symbol, n.symbol) = 'Brand#4'
   and year(coalesce(o.date, n.date)) * 100 + month(coalesce(o.date, n.date)) between 199507 and 199612""",
-    extra=DEDUP_1M))
+    extra=DEDUP))
 def q_sink_candles(spark, sf_dir):
     """K02 + S05: two writes into one candle store (old values win), then a ranged read."""
-    b = _dedup_1m(fixture(spark, sf_dir)).select(
+    b = _dedup(fixture(spark, sf_dir)).select(
         "symbol", "date", "open", F.lit(None).cast("double").alias("high"), F.lit(None).cast("double").alias("low"),
         "close", "volume", F.lit(None).cast("double").alias("adj_close"))
     root = scratch_path(spark, "candles")
@@ -116,9 +117,9 @@ def q_sink_candles(spark, sf_dir):
 select symbol, date, open, cast(null as double) as high, cast(null as double) as low, close, volume,
   cast(null as double) as adj_close from b1
 where symbol in ('Brand#2', 'Brand#19') and year(date) * 100 + month(date) between 199701 and 199806""",
-    extra=DEDUP_1M))
+    extra=DEDUP))
 def q_scan_candle_partitions(spark, sf_dir):
-    b = _dedup_1m(fixture(spark, sf_dir)).select(
+    b = _dedup(fixture(spark, sf_dir)).select(
         "symbol", "date", "open", F.lit(None).cast("double").alias("high"), F.lit(None).cast("double").alias("low"),
         "close", "volume", F.lit(None).cast("double").alias("adj_close"))
     root = scratch_path(spark, "candles")
@@ -128,15 +129,14 @@ def q_scan_candle_partitions(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
-BARS_SQL = """src as (select symbol, date - interval 1 hour as date,
-  case when volume > 45 then 'nan'::double else open end as open, close, volume from stocks where granularity = '2m'),
-prep as (select distinct symbol, '1m' as granularity, date, case when isnan(open) then null else open end as open,
+BARS_SQL = """src as (select symbol, granularity, date - interval 1 hour as date,
+  case when volume > 45 then 'nan'::double else open end as open, close, volume from stocks),
+prep as (select distinct symbol, granularity, date, case when isnan(open) then null else open end as open,
   cast(null as double) as high, cast(null as double) as low, close, volume, cast(null as double) as adj_close from src),
 newb as (select * exclude (rn) from (select *, row_number() over (partition by symbol, granularity, date
-  order by open asc nulls last, high asc nulls last, low asc nulls last, close asc nulls last, volume) as rn from prep)
-  where rn = 1),
-oldb as (select symbol, '1m' as granularity, date, open, cast(null as double) as high, cast(null as double) as low,
-  close, volume, cast(null as double) as adj_close from b1)"""
+  order by open asc nulls last, close asc nulls last, volume) as rn from prep) where rn = 1),
+oldb as (select symbol, granularity, date, max(open) as open, cast(null as double) as high, cast(null as double) as low,
+  max(close) as close, max(volume) as volume, cast(null as double) as adj_close from stocks group by symbol, granularity, date)"""
 
 
 @register("sink_bars", sql_with(["stocks"], """
@@ -144,28 +144,35 @@ select coalesce(o.symbol, n.symbol) as symbol, coalesce(o.granularity, n.granula
   coalesce(o.date, n.date) as date, coalesce(n.open, o.open) as open, coalesce(n.high, o.high) as high,
   coalesce(n.low, o.low) as low, coalesce(n.close, o.close) as close, coalesce(n.volume, o.volume) as volume,
   coalesce(n.adj_close, o.adj_close) as adj_close
-from oldb o full join newb n on o.symbol = n.symbol and o.granularity = n.granularity and o.date = n.date""",
-    extra=DEDUP_1M + ",\n" + BARS_SQL))
+from oldb o full join newb n on o.symbol = n.symbol and o.granularity = n.granularity and o.date = n.date""", extra=BARS_SQL))
 def q_sink_bars(spark, sf_dir):
+    """Bars of every granularity, shifted by an hour, upserted into the stored ones."""
     f = fixture(spark, sf_dir)
     null = F.lit(None).cast("double")
-    store = _dedup_1m(f).select("symbol", F.lit("1m").alias("granularity"), "date", "open", null.alias("high"),
-                                null.alias("low"), "close", "volume", null.alias("adj_close"))
-    src = (f.stocks.filter(F.col("granularity") == "2m")
-           .select("symbol", (F.col("date") - F.expr("INTERVAL 1 HOUR")).alias("date"),
-                   F.when(F.col("volume") > 45, F.lit(float("nan"))).otherwise(F.col("open")).alias("open"),
-                   "close", "volume"))
-    new = src.withColumn("granularity", F.lit("1m"))
-    # prepare_bars drops exact duplicates first; then one row per key (deterministic order)
-    prepared = sinks.prepare_bars(new, "1m")
-    one = tables.dedupe_first_by_key(prepared, ["symbol", "granularity", "date"],
-                                     [(c, False, True) for c in ("open", "high", "low", "close")] + ["volume"])
-    return tables.upsert_coalesce(store, one, ["symbol", "granularity", "date"])
-
-
-@register("sink_chain")
+    store = f.stocks.groupBy("symbol", "granularity", "date").agg(F.max("open").alias("open"), F.max("close").alias("close"),
+                                                                  F.max("volume").alias("volume"))
+    store = store.withColumns({"high": null, "low": null, "adj_close": null})
+    new = f.stocks.select("symbol", "granularity", (F.col("date") - F.expr("INTERVAL 1 HOUR")).alias("date"),
+                          F.when(F.col("volume") > 45, F.lit(float("nan"))).otherwise(F.col("open")).alias("open"), "close", "volume")
+    return sinks.upsert_bars(store, new)
+
+
+EARLY_SQL = "early as (select * from messages where date < timestamp '2024-01-15')"
+
+
+def _chains_sql(tag: str) -> str:
+    return f"""(select chat_id, flag as sent_by_linked_chat, cur as first_message_id, leaf as last_message_id, chain, n as chain_len
+  from w{tag} x where not exists (select 1 from lm{tag} p where p.chat_id = x.chat_id and p.message_id = x.parent))"""
+
+
+@register("sink_chain", sql_with(["messages", "chats"], f"""
+select chat_id, last_message_id, coalesce(n.chain_len, o.chain_len) as chain_len,
+  coalesce(n.first_message_id, o.first_message_id) as first_message_id,
+  coalesce(n.sent_by_linked_chat, o.sent_by_linked_chat) as sent_by_linked_chat, coalesce(n.chain, o.chain) as chain
+from {_chains_sql("_e")} o full join {_chains_sql("")} n using (chat_id, last_message_id)""",
+    extra=EARLY_SQL + ",\n" + chain_sql("early", "_e") + ",\n" + CHAIN_SQL, recursive=True))
 def q_sink_chain(spark, sf_dir):
-    """K04 (rows only): chains of an early snapshot upserted with the chains of all messages."""
+    """Chains of an early snapshot upserted with the chains of all messages."""
     f = fixture(spark, sf_dir)
     early = f.messages.filter(F.col("date") < F.lit("2024-01-15").cast("timestamp_ntz"))
     old = threads.message_chain(early, f.chats)
@@ -173,9 +180,11 @@ def q_sink_chain(spark, sf_dir):
     return sinks.upsert_chains(old, new)
 
 
-@register("layout_hash")
+@register("layout_hash", sql_with(["messages"], """
+select cast(cast('0x' || substr(md5(cast(chat_id as varchar)), 1, 8) as bigint) % 13 as int) as bucket, count(*) as n,
+  count(distinct chat_id) as chats from messages group by all"""))
 def q_layout_hash(spark, sf_dir):
-    """K07 (rows only): messages written in 13 hash buckets, read back per bucket."""
+    """Messages written in 13 hash buckets, read back per bucket."""
     m = fixture(spark, sf_dir).messages.select("chat_id", "message_id", "sender_id", "date")
     path = scratch_path(spark, "hash-layout")
     sinks.write_hash_layout(m, path, "chat_id", sinks.HASH_BUCKETS["messages"])
@@ -195,8 +204,7 @@ def q_layout_bars(spark, sf_dir):
 
 
 CSV_SQL = """csvsrc as (select case symbol when 'Brand#4' then 'TLV:137' when 'Brand#2' then 'CURRENCY:BTCUSD'
-  when 'Brand#19' then 'TLV:555' else symbol end as name, date, open, close, volume from stocks
-  where granularity = '1m')"""
+  when 'Brand#19' then 'TLV:555' else symbol end as name, date, open, close, volume from stocks)"""
 
 
 def _canon_sql(c: str) -> str:
@@ -210,7 +218,7 @@ select {_canon_sql('name')} as symbol, '1d' as granularity, date, round(open + 1
   cast(null as double) as high, cast(null as double) as low, round(close + 1e-9, 4) as close, volume from csvsrc""",
     extra=CSV_SQL))
 def q_scan_ohlcv_csv(spark, sf_dir):
-    s = fixture(spark, sf_dir).stocks.filter(F.col("granularity") == "1m")
+    s = fixture(spark, sf_dir).stocks
     name = (F.when(F.col("symbol") == "Brand#4", "TLV:137").when(F.col("symbol") == "Brand#2", "CURRENCY:BTCUSD")
             .when(F.col("symbol") == "Brand#19", "TLV:555").otherwise(F.col("symbol")))
     txt = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("#N/A"))
@@ -236,24 +244,12 @@ def q_scan_chain_file(spark, sf_dir):
     return readers.read_chain_file(spark, path)
 
 
-@register("gen_synthetic_bars")
-def q_gen_synthetic_bars(spark, sf_dir):
-    """S08 (rows only): a 1-minute grid over the months spanned by the events table, with invariant flags."""
-    ev = fixture(spark, sf_dir).table("events")
-    lo, hi = ev.select(F.min("ts"), F.max("ts")).first()
-    b = readers.synthetic_bars(spark, lo.year * 100 + lo.month, hi.year * 100 + hi.month, seed=7)
-    ok = ((F.col("high") >= F.greatest("open", "close")) & (F.col("low") <= F.least("open", "close"))
-          & F.col("open").between(100, 200) & F.col("volume").between(1000, 9999)
-          & F.hour("date").between(9, 16))
-    return b.select("date", "open", "high", "low", "close", "volume", ok.alias("valid"))
-
-
 @register("normalize_bars", sql_with(["stocks"], """
 select symbol, date, open, close, volume, cast(null as double) as high, cast(null as double) as low,
   cast(null as double) as adj_close, cast(null as double) as stock_splits, cast(null as double) as dividends
-from stocks where granularity = '60m'"""))
+from stocks"""))
 def q_normalize_bars(spark, sf_dir):
-    s = fixture(spark, sf_dir).stocks.filter(F.col("granularity") == "60m")
+    s = fixture(spark, sf_dir).stocks
     vendor = s.select(F.concat(F.date_format(F.col("date") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd HH:mm:ss"),
                                F.lit("+02:00")).alias("Datetime"),
                       F.col("open").alias("Open"), F.col("close").alias("Close"), F.col("volume").alias("Volume"),

@@ -6,28 +6,38 @@ partition filter so that only the requested directories are listed.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.scalars import canonical_symbol, from_date_parts, interval_code, na_to_null
+from ..functions.scalars import canonical_symbol, from_date_parts, interval_code, na_to_null, symbol_is_valid
 
+MALFORMED = "_malformed"
+CANDLE_FILE = ("day int, hour int, minute int, second int, open double, high double, low double, close double, "
+               "volume double, adj_close double, symbol string, yyyymm int")
 CHAIN_CONTRACT = ("chat_id", "sent_by_linked_chat", "first_message_id", "last_message_id", "chain", "chain_len")
 
 
 def read_raw_messages(spark: SparkSession, path: str) -> DataFrame:
     """JSON-lines message documents with the declared nested schema.
 
-    Unknown fields are ignored, missing ones are null (the struct schema is
-    the null-pruning of the reference); malformed lines become null rows in
-    PERMISSIVE mode and are dropped by the id guards downstream.
+    Unknown fields are ignored, missing ones are null (the struct schema is the null-pruning of
+    the reference).  A line that is no such document comes as a row of nulls with the line in
+    `_malformed`: `split_malformed` parts the two, so nothing is lost unseen.
     """
-    return (spark.read.schema(schemas.RAW_MESSAGE)
-            .option("mode", "PERMISSIVE")
-            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
-            .json(path))
+    from pyspark.sql import types as T
+    schema = T.StructType([*schemas.RAW_MESSAGE.fields, T.StructField(MALFORMED, T.StringType())])
+    return (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path))
+
+
+def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents, and the rejected lines `(line)` to be kept in quarantine.  A line is rejected if it
+    does not parse, or if its chat or message id is missing."""
+    bad = F.col(MALFORMED).isNotNull() | F.col("id").isNull() | F.col("chat.id").isNull()
+    line = F.coalesce(F.col(MALFORMED), F.to_json(F.struct(*[c for c in raw.columns if c != MALFORMED])))
+    return raw.filter(~bad).drop(MALFORMED), raw.filter(bad).select(line.alias("line"))
 
 
 def write_raw_messages(docs: DataFrame, path: str) -> None:
@@ -48,11 +58,22 @@ def read_bars_csv(spark: SparkSession, path: str) -> DataFrame:
     return parse_bar_rows(raw)
 
 
-def parse_bar_rows(raw: DataFrame) -> DataFrame:
-    """Typed bars from sheet-export rows (shared by the batch and the streaming reader)."""
+def parse_bar_rows(raw: DataFrame, codes: bool = False) -> DataFrame:
+    """Typed bars from sheet-export rows (shared by the batch and the streaming reader).
+
+    A symbol that still holds `:` (F09) or an unknown interval fails the job, as in the
+    reference.  With `codes` the interval may also be one of the stored granularities.
+    """
+    code = interval_code("Interval")
+    if codes:
+        code = F.coalesce(code, F.when(F.col("Interval").isin(*schemas.GRANULARITIES), F.col("Interval")))
+    symbol = canonical_symbol("Name")
+    raw = raw.filter(F.col("Name").isNotNull())
+    code = F.when(code.isNull(), F.raise_error(F.concat(F.lit("unknown interval: "), F.coalesce("Interval", F.lit("null"))))).otherwise(code)
+    symbol = F.when(symbol_is_valid(symbol), symbol).otherwise(F.raise_error(F.concat(F.lit("unknown vendor symbol: "), symbol)))
     num = lambda c: na_to_null(c).try_cast("double")
     return raw.select(
-        canonical_symbol("Name").alias("symbol"), interval_code("Interval").alias("granularity"),
+        symbol.alias("symbol"), code.alias("granularity"),
         F.coalesce(F.try_to_timestamp("Date", F.lit("yyyy-MM-dd HH:mm:ss")),
                    F.try_to_timestamp("Date", F.lit("yyyy-MM-dd"))).cast("timestamp_ntz").alias("date"),
         num("Open").alias("open"), num("High").alias("high"), num("Low").alias("low"),
@@ -66,18 +87,7 @@ def read_candles(spark: SparkSession, root: str, symbol: str | None = None, lo_y
     The timestamp is rebuilt from yyyymm and the stored day/hour/minute/second
     parts (F07).  A missing root or no matching partition gives an empty frame.
     """
-    schema = ("day int, hour int, minute int, second int, open double, high double, low double, close double, "
-              "volume double, adj_close double, symbol string, yyyymm int")
-    paths = _candle_paths(spark, root, symbol, lo_yyyymm, hi_yyyymm)
-    if paths == []:
-        df = spark.createDataFrame([], schema)
-    else:
-        try:
-            df = spark.read.schema(schema).option("basePath", root).parquet(*(paths or [root]))
-        except Exception as e:  # noqa: BLE001 - the store does not exist yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-            df = spark.createDataFrame([], schema)
+    df = _candle_files(spark, root, _candle_path(root, symbol, lo_yyyymm, hi_yyyymm))
     if symbol is not None:
         df = df.filter(F.col("symbol") == symbol)
     if lo_yyyymm is not None:
@@ -105,23 +115,28 @@ def partition_dir_value(v: str) -> str:
     return "".join(f"%{ord(c):02X}" if (c in _PATH_ESCAPES or ord(c) < 0x20) else c for c in str(v))
 
 
-def _candle_paths(spark: SparkSession, root: str, symbol: str | None, lo: int | None, hi: int | None):
-    """Existing partition directories for one symbol and a month range (None = let Spark list).
-
-    Reading the named directories avoids listing every `symbol=/yyyymm=` folder
-    of the store; directories that do not exist are skipped.
-    """
+def _candle_path(root: str, symbol: str | None, lo: int | None, hi: int | None) -> str:
+    """The store, or a pattern of the directories of one symbol and a month range, so that only
+    those are listed."""
     if symbol is None or lo is None or hi is None or hi < lo:
-        return None
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    sym = partition_dir_value(symbol)
-    base = jvm.org.apache.hadoop.fs.Path(f"{root}/symbol={sym}")
-    fs = base.getFileSystem(conf)
-    if not fs.exists(base):
-        return []
-    return [f"{root}/symbol={sym}/yyyymm={m}" for m in _months(lo, hi)
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/symbol={sym}/yyyymm={m}"))]
+        return root
+    return f"{root}/symbol={partition_dir_value(symbol)}/yyyymm={{{','.join(map(str, _months(lo, hi)))}}}"
+
+
+def _candle_files(spark: SparkSession, root: str, path: str) -> DataFrame:
+    """Stored candle rows with their partition columns; a missing store or no matching directory is empty."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.schema(CANDLE_FILE).option("basePath", root).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], CANDLE_FILE)
+
+
+def stored_candles(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of a candle store as they are kept: partition columns `symbol, yyyymm` and time parts."""
+    return _candle_files(spark, root, root)
 
 
 def read_chain_file(spark: SparkSession, path: str) -> DataFrame:
@@ -139,30 +154,6 @@ def messages_with_title(messages: DataFrame, chats: DataFrame | None = None) ->
     return messages.join(chats.select("chat_id", "title"), "chat_id", "left")
 
 
-def synthetic_bars(spark: SparkSession, first_yyyymm: int, last_yyyymm: int, seed: int = 0) -> DataFrame:
-    """1-minute grid over whole months [first, last], hours 9..16, random OHLCV.
-
-    open/close uniform in [100, 200), high >= max(open, close), low <= min,
-    volume integer in [1000, 10000).  Generated with `sequence` + `explode` from
-    one row per day, so the work is spread over the days.
-    """
-    first = dt.date(first_yyyymm // 100, first_yyyymm % 100, 1)
-    ly, lm = last_yyyymm // 100, last_yyyymm % 100
-    end = dt.date(ly + (lm == 12), lm % 12 + 1, 1) - dt.timedelta(days=1)
-    n_days = (end - first).days + 1
-    days = spark.range(n_days).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("day"))
-    minutes = days.select("day", F.explode(F.sequence(F.lit(9 * 60), F.lit(16 * 60 + 59))).alias("m"))
-    ts = F.make_timestamp_ntz(F.year("day"), F.month("day"), F.dayofmonth("day"), (F.col("m") / 60).cast("int"),
-                              (F.col("m") % 60).cast("int"), F.lit(0))
-    o = 100 + F.rand(seed) * 100
-    c = 100 + F.rand(seed + 1) * 100
-    b = minutes.select(ts.alias("date"), o.alias("open"), c.alias("close"), F.rand(seed + 2).alias("_u"),
-                       F.rand(seed + 3).alias("_v"), F.floor(1000 + F.rand(seed + 4) * 9000).alias("volume"))
-    return b.select("date", "open", (F.greatest("open", "close") + F.col("_u") * 10).alias("high"),
-                    (F.least("open", "close") - F.col("_v") * 10).alias("low"), "close",
-                    F.col("volume").cast("double").alias("volume"))
-
-
 def normalize_bars(df: DataFrame, symbol: str | None = None) -> DataFrame:
     """S09 `repair_yf`: vendor columns to lower snake case, missing OHLCV /
     splits / dividends added as null, symbol set, zoned time converted to UTC

@@ -111,3 +111,68 @@ def test_reply_or_forward_pairs(chain_fixture):
     m, _ = chain_fixture
     pairs = {(r.child_chat_id, r.child_id, r.src_chat_id, r.src_id) for r in threads.reply_or_forward_pairs(m).collect()}
     assert (2, 0, 1, 2) in pairs and (1, 2, 1, 1) in pairs
+
+
+def test_one_deep_thread(spark):
+    """A single thread of 20,000 messages: one row per message of the leaf's walk, not one path per message."""
+    n = 20_000
+    m = spark.range(n).select(F.lit(1).cast("long").alias("chat_id"), F.col("id").alias("message_id"),
+                              F.when(F.col("id") > 0, F.col("id") - 1).alias("reply_to_message_id"))
+    r = threads.maximal_chains(m).first()
+    assert (r.root_id, r.leaf_id) == (0, n - 1) and r.msg_chain == list(range(n))
+
+
+def test_leaf_walks_equal_brute_force(spark):
+    rnd = random.Random(5)
+    rows = [(c, i, None if rnd.random() < 0.15 else rnd.randrange(i - 20, i)) for c in range(3) for i in range(200)]
+    par = {(c, i): p for c, i, p in rows}
+    m = spark.createDataFrame(rows, "chat_id long, message_id long, reply_to_message_id long")
+    got = {}
+    for r in threads.leaf_walks(m).collect():
+        got.setdefault((r.chat_id, r.start), {})[r.pos] = r.id
+    leaf = set(par) - {(c, p) for (c, _), p in par.items()}
+    assert set(got) == leaf
+    for c, i in leaf:
+        walk = [i]
+        while (c, par[(c, walk[-1])]) in par:
+            walk.append(par[(c, walk[-1])])
+        assert [got[(c, i)][k] for k in range(len(got[(c, i)]))] == walk
+
+
+def test_leaves_above_a_circle_are_left_out(spark):
+    rows = [(1, 1, 2), (1, 2, 3), (1, 3, 1), (1, 4, 1), (1, 5, 5), (1, 6, None), (1, 7, 6)]
+    m = spark.createDataFrame(rows, "chat_id long, message_id long, reply_to_message_id long")
+    assert {r.start for r in threads.leaf_walks(m).collect()} == {7}
+
+
+def _linked(spark, rows):
+    return spark.createDataFrame(rows, "chat_id long, message_id long, reply_to_message_id long, forward_from_chat_id long, "
+                                       "forward_from_message_id long")
+
+
+def test_closure_counts_every_way(spark):
+    # 4 reaches 1 by its reply 3 and by its forward 2: UNION ALL keeps both ways, and all of 1's ancestors twice
+    m = _linked(spark, [(1, 0, None, None, None), (1, 1, 0, None, None), (1, 2, 1, None, None), (1, 3, 1, None, None),
+                        (1, 4, 3, 1, 2), (1, 5, 3, 1, 3)])
+    seed = m.filter("message_id in (4, 5)")
+    ways = {}
+    for r in threads.ancestor_closure(seed, m, replies=True, forwards=True).collect():
+        ways[r.message_id] = ways.get(r.message_id, 0) + 1
+    # 5 replies to and forwards 3: one link
+    assert ways == {4: 1, 5: 1, 3: 2, 2: 1, 1: 3, 0: 3}
+    once = threads.ancestor_closure(seed, m, replies=True, forwards=True, distinct=True)
+    assert sorted(r.message_id for r in once.collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_closure_deeper_than_ten_thousand(spark):
+    n = 12_000
+    m = spark.range(n).select(F.lit(1).cast("long").alias("chat_id"), F.col("id").alias("message_id"),
+                              F.when(F.col("id") > 0, F.col("id") - 1).alias("reply_to_message_id"))
+    assert threads.ancestor_closure(m.filter(F.col("message_id") == n - 1), m).count() == n
+
+
+def test_closure_with_duplicates_refuses_a_circle(spark):
+    import pytest
+    m = _linked(spark, [(1, 1, 2, None, None), (1, 2, 1, None, None)])
+    with pytest.raises(RuntimeError):
+        threads.ancestor_closure(m, m)
