@@ -16,7 +16,8 @@ and context rules matter) are prepared by the tokenizers library's own normalise
 and pre-tokeniser.  The file's special tokens are cut out first, as the library
 does.
 
-Distinct words are encoded once per task and kept in a cache of bounded size.
+Words do not depend on each other, so each distinct word is encoded once per Python
+worker and kept in a cache of bounded size.
 
 Defined cases: a null or empty text has no tokens and decodes to the empty
 string; a word of any length is one unit; other columns pass through.
@@ -27,22 +28,29 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from .common import map_texts
+from .common import Memo, map_texts
 
-#: Distinct words kept per task; a full cache is emptied.
-CACHE_WORDS = 150_000
-#: Words longer than this are encoded each time instead of being kept.
-CACHE_WORD_CHARS = 64
+#: Distinct words per cache generation and Python worker.
+CACHE_WORDS = 200_000
 
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\t-\r \x85\xa0\p{L}\p{N}]+")
-_LATIN = regex.compile(r"[\x00-ɏ]*")
+_LATIN = regex.compile(r"[\x00-\x1b -įı-ɏ]*")
+#: The same for Arrow (RE2): a character that makes a text not plain, and the words that are no
+#: letter runs (set apart by blanks, they leave the letter runs between them).
+_NOT_PLAIN = "[^\\x00-\\x1b\\x20-\\x{12f}\\x{131}-\\x{24f}]"
+_APART_RE2 = r"'(?:s|t|re|ve|m|ll|d)|\pN|[^\t-\r \x{85}\x{a0}\pL\pN]+"
 _NEVER = np.iinfo(np.int64).max
+_NO_MERGE = (_NEVER, -1)
+#: Longer words are merged with a heap.
+SHORT_WORD = 40
 #: Marks the last symbol of a word (the file's `</w>` suffix) in the working alphabet.
 _END = 0x100
 
@@ -56,13 +64,36 @@ def byte_symbols() -> dict[str, int]:
 
 
 def plain_text(text: str) -> bool:
-    """Whether the text can be cut by `plain_pieces`: characters below U+0250, no special token."""
+    """Whether a text can be cut by the word pattern after plain lower-casing: characters below
+    U+0250 (NFC changes none of them) without the separators that only splitting knows and the
+    one letter whose lower case is two, and no special token."""
     return _LATIN.fullmatch(text) is not None and "<|" not in text
 
 
-def plain_pieces(text: str) -> list[str]:
-    """Lower-cased pre-tokens of a plain text (NFC changes none of its characters)."""
-    return _WORD.findall(text.lower())
+def plain_rows(column: pa.Array) -> np.ndarray:
+    """Mask of the plain texts of an Arrow column (null: not plain)."""
+    odd = pc.or_(pc.match_substring_regex(column, _NOT_PLAIN), pc.match_substring(column, "<|"))
+    return pc.fill_null(pc.invert(odd), False).to_numpy(zero_copy_only=False)
+
+
+def word_table(column: pa.Array, plain: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words of the plain texts of a column: the distinct words, the code of each word, and the row
+    offsets into the codes (other rows have none)."""
+    low = pc.utf8_lower(column.filter(pa.array(plain)))
+    lists = pc.utf8_split_whitespace(pc.replace_substring_regex(low, pattern=_APART_RE2, replacement=r" \0 "))
+    counts = np.zeros(len(column), np.int64)
+    counts[plain] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate(([0], np.cumsum(counts)))
+    table = lists.flatten().dictionary_encode()
+    words, codes = table.dictionary.to_pylist(), table.indices.to_numpy(zero_copy_only=False)
+    if "" in words:  # blanks at the ends of a text
+        none = words.index("")
+        del words[none]
+        keep = codes != none
+        offsets = np.concatenate(([0], np.cumsum(keep, dtype=np.int64)))[offsets]
+        codes = codes[keep]
+        codes = codes - (codes > none)
+    return words, codes, offsets
 
 
 class Bpe:
@@ -105,7 +136,10 @@ class Bpe:
         self.pair_ranks = np.fromiter((r for r, _ in self.merges.values()), np.int64, len(self.merges))[order]
         # tokens that merging their own string does not give are never proposed
         self.proposals = {s: i for s, i in self.strings.items() if len(s) == 1 or self.merge(s) == [i]}
-        self.longest = max(map(len, self.proposals))
+        # length of the longest proposal by its first two symbols
+        self.longest_from: dict[str, int] = {}
+        for w in self.proposals:
+            self.longest_from[w[:2]] = max(len(w), self.longest_from.get(w[:2], 1))
 
     def _working(self, token: str, symbols: dict[str, int]) -> str:
         if self.suffix and token.endswith(self.suffix) and len(token) > len(self.suffix):
@@ -120,7 +154,7 @@ class Bpe:
     # -- text preparation ---------------------------------------------------
     def pieces(self, text: str) -> list[str]:
         if _LATIN.fullmatch(text):
-            return plain_pieces(text)
+            return _WORD.findall(text.lower())
         if self._library is None:
             from tokenizers import Tokenizer
             self._library = Tokenizer.from_file(self.path)
@@ -131,10 +165,11 @@ class Bpe:
 
     # -- speculate ----------------------------------------------------------
     def greedy(self, word: str) -> list[int]:
-        out, at, n, table, longest = [], 0, len(word), self.proposals, self.longest
+        out, at, n = [], 0, len(word)
+        get, longest = self.proposals.get, self.longest_from.get
         while at < n:
-            end = min(n, at + longest)
-            while (i := table.get(word[at:end])) is None:
+            end = min(n, at + longest(word[at:at + 2], 1))
+            while (i := get(word[at:end])) is None:
                 end -= 1
             out.append(i)
             at = end
@@ -170,6 +205,8 @@ class Bpe:
     def merge(self, word: str) -> list[int]:
         ids: list[int | None] = [self.strings[c] for c in word]
         n = len(ids)
+        if n <= SHORT_WORD:
+            return self._merge_short(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         merges = self.merges
         heap = [(m[0], i, m[1], ids[i], ids[i + 1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
@@ -190,6 +227,23 @@ class Bpe:
                 heapq.heappush(heap, (m[0], h, m[1], ids[h], made))
         return [i for i in ids if i is not None]
 
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        """Merge the lowest pair, leftmost first, until none is left (quadratic, for short words)."""
+        get = self.merges.get
+        ranks = [get(p, _NO_MERGE) for p in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best is _NO_MERGE:
+                break
+            i = ranks.index(best)
+            ids[i:i + 2] = [best[1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((ids[i - 1], ids[i]), _NO_MERGE)
+            if i < len(ranks):
+                ranks[i] = get((ids[i], ids[i + 1]), _NO_MERGE)
+        return ids
+
     def encode_words(self, words: Sequence[str]) -> list[list[int]]:
         """Speculate on all words, test all distinct adjacent pairs, merge the failing words."""
         got = [self.greedy(w) for w in words]
@@ -218,54 +272,72 @@ def tables(path: str) -> Bpe:
 
 
 class Encoder:
-    """Encodes texts word by word; `entry(token ids)` is what is kept for a distinct word."""
+    """Encodes texts word by word; `entry(ids)` is what is kept for a distinct word."""
 
     def __init__(self, bpe: Bpe, entry: Callable[[list[int]], object]):
         self.bpe, self.entry = bpe, entry
-        self.cache: dict[str, object] = {}
-        self.special = {s: entry([i]) for s, i in bpe.specials.items()}
-
-    def _segments(self, text: str) -> Iterator[tuple[str, bool]]:
-        split = self.bpe.split_specials
-        if split is None or "<" not in text:
-            yield text, False
-        else:
-            for k, part in enumerate(split.split(text)):
-                if part:
-                    yield part, bool(k % 2)
+        self.memo = Memo(CACHE_WORDS)
+
+    def _words(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if plain_text(text):
+            return _WORD.findall(text.lower())
+        bpe, words = self.bpe, []
+        for k, part in enumerate(bpe.split_specials.split(text) if bpe.split_specials else [text]):
+            words.extend([part] if k % 2 else bpe.pieces(part))
+        return words
+
+    def _entries(self, words: list[str]) -> list:
+        specials = self.bpe.specials  # no word equals one: their signs and letters are different words
+        got = self.bpe.encode_words([self.bpe.word(w) for w in words])
+        return [self.entry([specials[w]] if w in specials else ids) for w, ids in zip(words, got)]
 
     def texts(self, texts: Sequence[str | None]) -> list[list]:
         """Entries of the words of each text, in order."""
-        prepared = [[(s, True) if special else (self.bpe.pieces(s), False) for s, special in self._segments(t)] if t else []
-                    for t in texts]
-        cache = self.cache
-        missing = {p for segs in prepared for part, special in segs if not special for p in part if p not in cache}
-        extra: dict[str, object] = {}
-        if missing:
-            if len(cache) + len(missing) > CACHE_WORDS:
-                cache.clear()
-                missing = {p for segs in prepared for part, special in segs if not special for p in part}
-            order = list(missing)
-            for p, ids in zip(order, self.bpe.encode_words([self.bpe.word(p) for p in order])):
-                (cache if len(p) <= CACHE_WORD_CHARS else extra)[p] = self.entry(ids)
-        known = {**cache, **extra} if extra else cache
-        out = []
-        for segs in prepared:
-            row: list = []
-            for part, special in segs:
-                row.extend([self.special[part]] if special else [known[p] for p in part])
-            out.append(row)
-        return out
+        rows = [self._words(t) for t in texts]
+        known = self.memo.all_of({w for r in rows for w in r}, self._entries)
+        return [[known[w] for w in r] for r in rows]
+
+    def column(self, column: pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
+        """The distinct entries of an Arrow column of texts, the entry of each word, and row offsets."""
+        plain = plain_rows(column)
+        words, codes, offsets = word_table(column, plain)
+        known = self.memo.all_of(words, self._entries)
+        entries = [known[w] for w in words]
+        odd = [int(i) for i in np.flatnonzero(~plain) if column[int(i)].is_valid and column[int(i)].as_py()]
+        if odd:
+            rows = self.texts([column[i].as_py() for i in odd])
+            at = np.repeat(offsets[odd], [len(r) for r in rows])
+            extra = len(entries) + np.arange(len(at))
+            entries += [e for r in rows for e in r]
+            codes = np.insert(codes.astype(np.int64), at, extra)
+            sizes = np.diff(offsets)
+            sizes[odd] = [len(r) for r in rows]
+            offsets = np.concatenate(([0], np.cumsum(sizes)))
+        return entries, codes, offsets
+
+
+def _digest_entry(bpe: Bpe) -> Callable[[list[int]], object]:
+    # the ids and the decoded text of a whole text are its words' joined by one space
+    return lambda ids: (" ".join(map(str, ids)), decode_ids(bpe, ids), len(ids))
+
+
+_encoders: dict[tuple[str, str], Encoder] = {}
+
+
+def worker_encoder(path: str, kind: str) -> Encoder:
+    """The encoder of this Python worker, shared by its tasks; `kind`: ids or digest."""
+    if (path, kind) not in _encoders:
+        bpe = tables(path)
+        _encoders[path, kind] = Encoder(bpe, _digest_entry(bpe) if kind == "digest" else lambda ids: ids)
+    return _encoders[path, kind]
 
 
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", out_col: str = "token_ids") -> DataFrame:
     """`docs` with the token ids of each whole text."""
-    state: dict[str, Encoder] = {}
-
     def run(texts):
-        if not state:
-            state["e"] = Encoder(tables(tokenizer), lambda ids: ids)
-        return {out_col: [[i for word in row for i in word] for row in state["e"].texts(texts)]}
+        return {out_col: [[i for word in row for i in word] for row in worker_encoder(tokenizer, "ids").texts(texts)]}
 
     return map_texts(docs, text_col, run, f"`{out_col}` array<int>")
 
@@ -285,20 +357,22 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "token_ids", out_c
     return map_texts(encoded, ids_col, run, f"`{out_col}` string")
 
 
+def _joined(parts: list[str], codes: np.ndarray, offsets: np.ndarray) -> list:
+    """For each row its parts joined by one space (as buffers)."""
+    if len(offsets) == 2:  # one text, of any length
+        return [" ".join([parts[c] for c in codes.tolist()]).encode("utf-8", "surrogatepass")]
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(parts, pa.string()).take(pa.array(codes)))
+    return [t.as_buffer() for t in pc.binary_join(lists, " ")]
+
+
 def digest(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
     """Per document the number of tokens, the digest of its ids and of the text decoded from them."""
-    state: dict[str, Encoder] = {}
-
-    def run(texts):
-        if not state:
-            bpe = tables(tokenizer)
-            # the ids and the decoded text of a whole text are the words' joined by one space
-            state["e"] = Encoder(bpe, lambda ids: (" ".join(map(str, ids)), decode_ids(bpe, ids), len(ids)))
-        n, a, b = [], [], []
-        for row in state["e"].texts(texts):
-            n.append(sum([w[2] for w in row]))
-            a.append(hashlib.sha256(" ".join([w[0] for w in row]).encode()).hexdigest())
-            b.append(hashlib.sha256(" ".join([w[1] for w in row]).encode("utf-8", "surrogatepass")).hexdigest())
-        return {"n_tokens": n, "ids_sha256": a, "decoded_sha256": b}
-
-    return map_texts(docs, text_col, run, "n_tokens long, ids_sha256 string, decoded_sha256 string", drop_text=True)
+    def run(column):
+        entries, codes, offsets = worker_encoder(tokenizer, "digest").column(column)
+        sizes = np.concatenate(([0], np.cumsum(np.array([e[2] for e in entries], np.int64)[codes])))
+        sha = lambda texts: [hashlib.sha256(t).hexdigest() for t in texts]
+        return {"n_tokens": sizes[offsets[1:]] - sizes[offsets[:-1]],
+                "ids_sha256": sha(_joined([e[0] for e in entries], codes, offsets)),
+                "decoded_sha256": sha(_joined([e[1] for e in entries], codes, offsets))}
+
+    return map_texts(docs, text_col, run, "n_tokens long, ids_sha256 string, decoded_sha256 string", drop_text=True, as_arrow=True)

@@ -3,17 +3,18 @@ shared-folder files, and small numpy utilities used inside tasks."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Collection, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Characters of text handed to one call of a batch function: bounds a task's
-#: memory independently of the number of rows in an Arrow batch.
-CHUNK_CHARS = 2_000_000
+#: Bytes of text handed to one call of a batch function: bounds a task's memory
+#: independently of the number of rows in an Arrow batch.
+CHUNK_BYTES = 4_000_000
 
 ASCII_UPPER = bytes(range(65, 91))
 ASCII_LOWER = bytes(range(97, 123))
@@ -28,18 +29,19 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def chunks(texts: Sequence[str | None], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
-    """Index ranges of consecutive texts with about `limit` characters each
-    (one longer text forms its own range; texts are never cut)."""
+def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """A text column of an Arrow batch in pieces of about `limit` bytes, with their first row.
+    One longer text forms its own piece; texts are never cut.  Only one piece at a time is
+    turned into Python strings."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False) if len(column) else np.empty(0, np.int64)
     start = total = 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
+    for i, n in enumerate(size.tolist()):
         if i > start and total + n > limit:
-            yield start, i
+            yield start, column.slice(start, i - start)
             start, total = i, 0
         total += n
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(size):
+        yield start, column.slice(start)
 
 
 def arrow_type(dt: T.DataType) -> pa.DataType:
@@ -48,14 +50,16 @@ def arrow_type(dt: T.DataType) -> pa.DataType:
 
 
 def map_texts(df: DataFrame, text_col: str, fn: Callable[[list[str | None]], dict[str, Sequence]],
-              fields: str, drop_text: bool = False, keep: Callable[[dict[str, Sequence]], np.ndarray] | None = None) -> DataFrame:
+              fields: str, drop_text: bool = False, keep: Callable[[dict[str, Sequence]], np.ndarray] | None = None,
+              as_arrow: bool = False) -> DataFrame:
     """Append the columns `fields` (a DDL string) that `fn` derives from whole texts.
 
     Narrow and distributed: every Arrow batch is handled in pieces of about
-    `CHUNK_CHARS` characters, all other columns pass through untouched.  An
+    `CHUNK_BYTES`, all other columns pass through untouched.  An
     input column with the name of a derived one is replaced by it.  `keep`
     turns the derived columns into a row mask (a filter without a second
-    pass); `drop_text` leaves the text out of the result."""
+    pass); `drop_text` leaves the text out of the result; `as_arrow` hands `fn` the texts
+    as an Arrow array instead of a list."""
     new = T._parse_datatype_string(fields)
     assert isinstance(new, T.StructType)
     names = {f.name for f in new.fields}
@@ -64,13 +68,14 @@ def map_texts(df: DataFrame, text_col: str, fn: Callable[[list[str | None]], dic
     need = stay + [text_col] if text_col not in stay else stay
     types = [arrow_type(f.dataType) for f in new.fields]
     out_names = [f.name for f in schema.fields]
+    plain = isinstance(df.schema[text_col].dataType, T.StringType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(need.index(text_col)).to_pylist()
-            for a, b in chunks(texts):
-                got = fn(texts[a:b])
-                cols = [batch.column(i).slice(a, b - a) for i in range(len(stay))]
+            column = batch.column(need.index(text_col))
+            for a, texts in text_chunks(column) if plain else [(0, column)]:
+                got = fn(texts if as_arrow else texts.to_pylist())
+                cols = [batch.column(i).slice(a, len(texts)) for i in range(len(stay))]
                 cols += [pa.array(got[f.name], type=t) for f, t in zip(new.fields, types)]
                 out = pa.RecordBatch.from_arrays(cols, names=out_names)
                 yield out.filter(pa.array(keep(got))) if keep else out
@@ -89,8 +94,8 @@ class Memo:
         self.young: dict = {}
         self.old: dict = {}
 
-    def all_of(self, keys: set, compute: Callable[[list], Sequence]) -> dict:
-        """A dict that holds the values of all `keys`; `compute` gives those of unknown ones."""
+    def all_of(self, keys: Collection, compute: Callable[[list], Sequence]) -> dict:
+        """A dict that holds the values of all `keys` (distinct); `compute` gives those of unknown ones."""
         missing = [k for k in keys if k not in self.young]
         if missing and len(self.young) + len(missing) > self.limit:
             self.young, self.old = {}, self.young
