@@ -177,22 +177,48 @@ def message_template(message_id: ColOrName, sender_name: ColOrName, reply_sender
         F.when(F.coalesce(t, F.lit("")) == "", F.lit(NO_CONTENT)).otherwise(t))
 
 
+def _stripped(resp: ColOrName) -> Column:
+    return F.btrim(_c(resp), F.lit(" \t\n\r\x0b\x0c"))
+
+
+def _find(s: Column, what: str, start: Column | None = None) -> Column:
+    """0-based place of the first `what` from `start` on, -1 if there is none."""
+    return F.call_function("locate", F.lit(what), s, F.lit(1) if start is None else start + 1) - 1
+
+
+def _cut(s: Column, start: Column, end: Column) -> Column:
+    """Characters `start .. end`; a negative end counts from the back."""
+    end = F.when(end < 0, F.length(s) + end).otherwise(end)
+    return F.substring(s, start + 1, F.greatest(end - start, F.lit(0)))
+
+
 def tagged_summary(resp: ColOrName) -> Column:
-    """`<SUMMARY>...</SUMMARY>` body, null if absent."""
-    r = F.trim(_c(resp))
-    return F.when(r.contains("<SUMMARY>") & r.contains("</SUMMARY>"),
-                  F.regexp_extract(r, r"(?s)<SUMMARY>(.*?)</SUMMARY>", 1))
+    """What stands between the first `<SUMMARY>` and the first `</SUMMARY>`; null if either is missing."""
+    r = _stripped(resp)
+    start, end = _find(r, "<SUMMARY>"), _find(r, "</SUMMARY>")
+    return F.when((start >= 0) & (end >= 0), _cut(r, start + len("<SUMMARY>"), end))
+
+
+def _tag(r: Column) -> tuple[Column, Column, Column]:
+    """Place of `<MSG`, of the attributes behind it, and of the `>` that ends them."""
+    start = _find(r, "<MSG")
+    return start, start + len("<MSG"), _find(r, ">", start + len("<MSG"))
 
 
 def tagged_message(resp: ColOrName) -> Column:
-    r = F.trim(_c(resp))
-    return F.when(r.contains("<MSG"), F.regexp_extract(r, r"(?s)<MSG[^>]*>(.*?)</MSG>", 1))
+    """What follows the first `<MSG ..>` up to the first `</MSG>`; without the closing tag, up to the
+    last character (which is left out, as in the reference)."""
+    r = _stripped(resp)
+    start, _, end = _tag(r)
+    return F.when(start >= 0, _cut(r, end + 1, _find(r, "</MSG>")))
 
 
 def tagged_reply_to(resp: ColOrName) -> Column:
-    r = F.trim(_c(resp))
-    return F.try_cast(F.nullif(F.regexp_extract(r, r"<MSG[^>]*ID='([^']*)'", 1), F.lit("")), "bigint") \
-        if hasattr(F, "try_cast") else F.regexp_extract(r, r"<MSG[^>]*ID='([^']*)'", 1).try_cast("bigint")
+    """The quoted ID of the first `<MSG ..>`; null if it is none or no number."""
+    r = _stripped(resp)
+    start, attributes, end = _tag(r)
+    tags = F.when(start >= 0, _cut(r, attributes, end))
+    return F.nullif(F.regexp_extract(tags, "ID='([^']*)", 1), F.lit("")).try_cast("bigint")
 
 
 RESPONSE_SCHEMA = "should_participate boolean, response_text string, reply_to_message_id bigint"
@@ -207,12 +233,13 @@ def json_response(resp: ColOrName) -> Column:
 
 
 def search_params(text: ColOrName) -> Column:
-    """`key value;;;key value` -> map; blank entries dropped."""
+    """`key value;;;key value` -> map; blank entries dropped, of a repeated key the last value counts."""
     parts = F.filter(F.transform(F.split(_c(text), ";;;"), lambda x: F.trim(x)), lambda x: x != "")
     # a part without a space has no value: the reference fails on it; we keep key -> null
-    return F.map_from_entries(F.transform(parts, lambda x: F.struct(
-        F.split(x, " ", 2).getItem(0).alias("key"),
-        F.try_element_at(F.split(x, " ", 2), F.lit(2)).alias("value"))))
+    pairs = F.transform(parts, lambda x: F.struct(
+        F.split(x, " ", 2).getItem(0).alias("key"), F.try_element_at(F.split(x, " ", 2), F.lit(2)).alias("value")))
+    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda q: q["key"] == p["key"]))
+    return F.map_from_entries(last)
 
 
 def clean_quotes(c: ColOrName) -> Column:

@@ -78,6 +78,17 @@ def ranked_senders(hourly: DataFrame) -> DataFrame:
     return hourly.withColumn("rank", F.rank().over(w)).join(totals, ["chat_id", "hour"])
 
 
+def sender_ranks(hourly: DataFrame) -> DataFrame:
+    """W01 for all senders: one more than the number of senders with more messages.
+
+    Equal counts share a rank, so only the distinct counts of a chat-hour are ordered (a few rows),
+    not its senders."""
+    ties = hourly.groupBy("chat_id", "hour", "message_count").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.partitionBy("chat_id", "hour").orderBy(F.col("message_count").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = ties.select("chat_id", "hour", "message_count", (F.coalesce(F.sum("_n").over(ahead), F.lit(0)) + 1).cast("int").alias("rank"))
+    return hourly.join(ranks, ["chat_id", "hour", "message_count"])
+
+
 def top_senders(ranked: DataFrame, n: int = 3) -> DataFrame:
     """Rank <= n (ties can exceed n)."""
     return ranked.filter(F.col("rank") <= n)

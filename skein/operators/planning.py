@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import pretty_duration
+from . import tables
 
 GROUP_LOOKBACK = dt.timedelta(weeks=12)   # fixed value: groups are fetched back 12 weeks (4 in the pool variant)
 EPOCH = "1970-01-01 00:00:00"
@@ -77,7 +78,8 @@ def fetch_window(messages: DataFrame, bounds: DataFrame, now: str, full_ids: Seq
     is_group = F.col("type").isin("group", "supergroup") & ~F.col("chat_id").isin(list(full_ids))
     min_date = F.when(is_group, F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(lookback_s))) \
         .otherwise(F.lit(EPOCH).cast("timestamp_ntz"))
-    b = bounds.select("chat_id", "committed", "available", min_date.alias("min_date"))
+    # a few numbers per chat: sent to the messages when small, so that a hot chat is not one task
+    b = tables.if_small(bounds.select("chat_id", "committed", "available", min_date.alias("min_date")))
     j = messages.join(b, "chat_id")
     return j.filter((F.col("message_id") > F.col("committed")) & (F.col("message_id") <= F.col("available"))
                     & (F.col("date") >= F.col("min_date"))).drop("committed", "available", "min_date")
@@ -93,13 +95,22 @@ def refresh_window(messages: DataFrame, chats: DataFrame, now: str, age: dt.time
     return m.join(c, "chat_id").filter(F.col("message_id") <= F.col("_top")).drop("_top")
 
 
-def refresh_due(settings: DataFrame, now: str, project: str = "refresh", key: str = "last_run",
-                min_gap: dt.timedelta = dt.timedelta(days=1)) -> DataFrame:
-    """I04 gate: due when the last run recorded in the settings table is older than `min_gap`."""
-    s = settings.filter((F.col("project") == project) & (F.col("key") == key))
-    last = s.agg(F.max(F.col("value").cast("timestamp_ntz")).alias("last_run"))
+def refresh(messages: DataFrame, chats: DataFrame, fetched: DataFrame, settings: DataFrame, now: str,
+            project: str = "refresh", key: str = "last_run") -> tuple[DataFrame, DataFrame]:
+    """The messages with the newly fetched values of the refresh window upserted (null keeps the
+    stored value; rows outside the window are not touched), and the settings with this run."""
+    window = refresh_window(messages, chats, now).select("chat_id", "message_id")
+    new = fetched.join(window, ["chat_id", "message_id"], "left_semi")
+    run = settings.sparkSession.range(1).select(F.lit(project).alias("project"), F.lit(key).alias("key"), F.lit(now).alias("value"))
+    return (tables.upsert_coalesce(messages, new, ["chat_id", "message_id"]),
+            tables.upsert_overwrite(settings.select("project", "key", "value"), run, ["project", "key"], ["value"]))
+
+
+def refresh_due(settings: DataFrame, now: str, key: str = "last_run", min_gap: dt.timedelta = dt.timedelta(days=1)) -> DataFrame:
+    """I04 gate: per project, due when the last run recorded in the settings is older than `min_gap`."""
+    last = settings.filter(F.col("key") == key).select("project", F.col("value").cast("timestamp_ntz").alias("last_run"))
     limit = F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(int(min_gap.total_seconds())))
-    return last.select("last_run", (F.col("last_run").isNull() | (F.col("last_run") < limit)).alias("due"))
+    return last.select("project", "last_run", (F.col("last_run").isNull() | (F.col("last_run") < limit)).alias("due"))
 
 
 def fetch_progress(left: DataFrame, saved: DataFrame, elapsed_seconds: float) -> DataFrame:

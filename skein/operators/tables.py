@@ -145,6 +145,18 @@ def delete_channel(df: DataFrame, chat_id: int) -> DataFrame:
     return df.filter(~F.coalesce(F.col("chat_id") == chat_id, F.lit(False)))
 
 
+def delete_range_everywhere(store: dict[str, DataFrame], chat_id: int, lo: int, hi: int,
+                            inclusive_low: bool = True) -> dict[str, DataFrame]:
+    """D04 over every table of a store that is keyed by message (polls, reactions, messages, ...)."""
+    return {name: delete_range(df, chat_id, lo, hi, inclusive_low) if "message_id" in df.columns else df
+            for name, df in store.items()}
+
+
+def delete_channel_everywhere(store: dict[str, DataFrame], chat_id: int) -> dict[str, DataFrame]:
+    """D05 over every table of a store that has a chat."""
+    return {name: delete_channel(df, chat_id) if "chat_id" in df.columns else df for name, df in store.items()}
+
+
 def advance_top_message(chats: DataFrame, messages: DataFrame) -> DataFrame:
     """Chats.top_message_id := max(message_id) of its messages (upsert)."""
     tops = messages.groupBy("chat_id").agg(F.max("message_id").alias("top_message_id"))
@@ -203,10 +215,21 @@ def dictionary_encode(values: DataFrame, column: str, mapping: DataFrame) -> Dat
     return mapping.select("reaction_id", "reaction", "is_custom").unionByName(added)
 
 
+#: Largest number of rows of a dimension that is sent to every task.
+BROADCAST_ROWS = 200_000
+
+
+def if_small(dimension: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint for a dimension of narrow rows whose counted size is small; else the frame as
+    it is (a shuffled join, whose hot keys AQE splits)."""
+    return F.broadcast(dimension) if dimension.limit(rows + 1).count() <= rows else dimension
+
+
 def encode(values: DataFrame, column: str, mapping: DataFrame, id_col: str = "reaction_id") -> DataFrame:
-    """Replace `column` by its dictionary id (the mapping is a dimension)."""
+    """Replace `column` by its dictionary id.  Most values are a few hot ones, so a dictionary of a
+    checked size goes to the rows instead of the rows to it."""
     m = mapping.select(F.col("reaction").alias(column), F.col("reaction_id").alias(id_col))
-    return values.join(m, column, "left")
+    return values.join(if_small(m), column, "left")
 
 
 def latest_setting(log: DataFrame) -> DataFrame:

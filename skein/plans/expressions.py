@@ -168,27 +168,33 @@ def q_message_template(spark, sf_dir):
                     S.message_template("message_id", "sender_name", "reply_sender", reply_id, "text").alias("line"))
 
 
-RESP_SQL = """resp as (select doc_id, case when doc_id % 3 = 0 then '  <SUMMARY>' || text || '</SUMMARY> <MSG ID=''' ||
-  cast(doc_id * 7 as varchar) || '''>' || lang || '</MSG> ' when doc_id % 3 = 1 then '<MSG>' || lang || '</MSG>'
-  else text end as response from documents)"""
+RESP_SQL = """resp as (select doc_id, case doc_id % 6 when 0 then '  <SUMMARY>' || text || '</SUMMARY> <MSG ID=''' ||
+  cast(doc_id * 7 as varchar) || '''>' || lang || '</MSG> ' when 1 then '<MSG>' || lang || '</MSG>'
+  when 2 then 'x <MSG ID=''n''>' || lang || ' and <B ID=''9''>' when 3 then '<SUMMARY>' || text
+  when 4 then '</SUMMARY><SUMMARY>late</SUMMARY><MSG X=1>a</MSG><MSG ID=''5''>b</MSG>' else text end as response from documents)"""
 
 
 def _responses(f):
     d = f.table("documents")
-    z = F.col("doc_id") % 3
-    return d.select("doc_id", F.when(z == 0, F.concat(F.lit("  <SUMMARY>"), "text", F.lit("</SUMMARY> <MSG ID='"),
-                                                      (F.col("doc_id") * 7).cast("string"), F.lit("'>"), "lang",
-                                                      F.lit("</MSG> ")))
-                    .when(z == 1, F.concat(F.lit("<MSG>"), "lang", F.lit("</MSG>"))).otherwise(F.col("text"))
-                    .alias("response"))
+    z, text, lang = F.col("doc_id") % 6, F.col("text"), F.col("lang")
+    return d.select("doc_id", F.when(z == 0, F.concat(F.lit("  <SUMMARY>"), text, F.lit("</SUMMARY> <MSG ID='"),
+                                                      (F.col("doc_id") * 7).cast("string"), F.lit("'>"), lang, F.lit("</MSG> ")))
+                    .when(z == 1, F.concat(F.lit("<MSG>"), lang, F.lit("</MSG>")))
+                    .when(z == 2, F.concat(F.lit("x <MSG ID='n'>"), lang, F.lit(" and <B ID='9'>")))
+                    .when(z == 3, F.concat(F.lit("<SUMMARY>"), text))
+                    .when(z == 4, F.lit("</SUMMARY><SUMMARY>late</SUMMARY><MSG X=1>a</MSG><MSG ID='5'>b</MSG>"))
+                    .otherwise(text).alias("response"))
 
 
 @register("parse_tagged_response", sql_with([], """
-select doc_id, case when r like '%<SUMMARY>%' and r like '%</SUMMARY>%'
-    then regexp_extract(r, '(?s)<SUMMARY>(.*?)</SUMMARY>', 1) end as summary,
-  case when r like '%<MSG%' then regexp_extract(r, '(?s)<MSG[^>]*>(.*?)</MSG>', 1) end as msg,
-  try_cast(nullif(regexp_extract(r, '<MSG[^>]*ID=''([^'']*)''', 1), '') as bigint) as reply_to
-from (select doc_id, trim(response) as r from resp)""", extra=RESP_SQL))
+select doc_id, case when s > 0 and e > 0 then case when e > s + 8 then substr(r, s + 9, e - s - 9) else '' end end as summary,
+  case when m > 0 then case when c > 0 then case when c > g then substr(r, g + 1, c - g - 1) else '' end
+    else substr(r, g + 1, greatest(length(r) - g - 1, 0)) end end as msg,
+  case when m > 0 and instr(t, 'ID=''') > 0 then try_cast(split_part(split_part(t, 'ID=''', 2), '''', 1) as bigint) end as reply_to
+from (select *, substr(r, m + 4, g - m - 4) as t from (
+  select doc_id, r, instr(r, '<SUMMARY>') as s, instr(r, '</SUMMARY>') as e, instr(r, '<MSG') as m, instr(r, '</MSG>') as c,
+    case when instr(r, '<MSG') > 0 then instr(r, '<MSG') + 3 + instr(substr(r, instr(r, '<MSG') + 4), '>') end as g
+  from (select doc_id, trim(response, ' ' || chr(9) || chr(10) || chr(13)) as r from resp)))""", extra=RESP_SQL))
 def q_parse_tagged_response(spark, sf_dir):
     r = _responses(fixture(spark, sf_dir))
     return r.select("doc_id", S.tagged_summary("response").alias("summary"), S.tagged_message("response").alias("msg"),

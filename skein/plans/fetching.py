@@ -139,6 +139,13 @@ def q_restrict_to_set(spark, sf_dir):
     return planning.restrict_to_set(_dialogs(f), backup).select("chat_id", "type")
 
 
+@register("duplicate_keys", sql_with(["messages"], """
+select chat_id, sender_id, count(*) as n from messages group by all having count(*) > 1"""))
+def q_duplicate_keys(spark, sf_dir):
+    """Keys that are not unique."""
+    return planning.duplicate_keys(fixture(spark, sf_dir).messages, ["chat_id", "sender_id"])
+
+
 @register("max_id_left_title", sql_with(["messages", "chats"], """
 select m.chat_id, max(m.message_id) as max_message_id, c.title from messages m left join chats c using (chat_id)
 group by m.chat_id, c.title"""))
@@ -211,13 +218,28 @@ def q_join_candidates(spark, sf_dir):
 
 
 @register("refresh_gate", sql_with(["messages", "chats"], f"""
-select cast(l.value as timestamp) as last_run,
+select project, cast(l.value as timestamp) as last_run,
   l.value is null or cast(l.value as timestamp) < timestamp '{NOW}' - interval 1 day as due
-from (select arg_max(case when event_type = 'signup' then cast(ts as varchar) end,
-  case when event_type = 'signup' then event_id end) as value from events) l"""))
+from (select event_type as project, arg_max(cast(ts as varchar), event_id) as value from events group by event_type) l"""))
 def q_refresh_gate(spark, sf_dir):
-    """I04 gate: the refresh runs only if the last recorded run is more than a day old."""
-    ev = fixture(spark, sf_dir).table("events").filter(F.col("event_type") == "signup")
-    log = ev.select(F.lit("refresh").alias("project"), F.lit("last_run").alias("key"),
-                    F.col("ts").cast("string").alias("value"), F.col("event_id").alias("seq"), F.lit("set").alias("op"))
+    """I04 gate, for a project per event type: a refresh runs only if the last recorded run is more
+    than a day old."""
+    ev = fixture(spark, sf_dir).table("events")
+    log = ev.select(F.col("event_type").alias("project"), F.lit("last_run").alias("key"), F.col("ts").cast("string").alias("value"),
+                    F.col("event_id").alias("seq"), F.lit("set").alias("op"))
     return planning.refresh_due(tables.latest_setting(log), NOW)
+
+
+@register("refresh_upsert", sql_with(["messages", "chats"], f"""
+select m.chat_id, m.message_id, m.text, case when m.date >= timestamp '{NOW}' - interval 7 day - interval 30 hour
+  and m.date < timestamp '{NOW}' - interval 7 day and m.message_id % 4 <> 0 then m.views + 100 else m.views end as views,
+  '{NOW}' as last_run from messages m"""))
+def q_refresh_upsert(spark, sf_dir):
+    """I04 end to end: window, upsert of the fetched views (null: unchanged), then the setting."""
+    f = fixture(spark, sf_dir)
+    committed = tables.advance_top_message(f.chats, f.messages)
+    fetched = f.messages.select("chat_id", "message_id", F.when(F.col("message_id") % 4 != 0, F.col("views") + 100).alias("views"))
+    none = spark.createDataFrame([], "project string, key string, value string")
+    now, settings = planning.refresh(f.messages, committed, fetched, none, NOW)
+    run = settings.select(F.max("value")).scalar()
+    return now.select("chat_id", "message_id", "text", "views", run.alias("last_run"))

@@ -58,18 +58,17 @@ def q_upsert_overwrite(spark, sf_dir):
 # Bars merge: old = 1m bars, new = 2m bars relabelled as 1m one hour earlier
 # (so they collide with the 1m bars of the same part and day).
 BARS_SQL = """old as (select symbol, granularity, date, max(open) as open, max(close) as close, max(volume) as volume
-  from stocks where granularity = '1m' group by all),
-new as (select symbol, '1m' as granularity, date - interval 1 hour as date, max(open) as open, max(close) as close,
-  max(volume) as volume from stocks where granularity = '2m' group by all)"""
+  from stocks group by all),
+new as (select symbol, granularity, date - interval 1 hour as date, max(open) as open, max(close) as close,
+  max(volume) as volume from stocks group by all)"""
 
 
 def _bars_old_new(f):
     s = f.stocks
     k = ["symbol", "granularity", "date"]
     agg = [F.max("open").alias("open"), F.max("close").alias("close"), F.max("volume").alias("volume")]
-    old = s.filter(F.col("granularity") == "1m").groupBy(*k).agg(*agg)
-    new = (s.filter(F.col("granularity") == "2m")
-           .select("symbol", F.lit("1m").alias("granularity"), (F.col("date") - F.expr("INTERVAL 1 HOUR")).alias("date"),
+    old = s.groupBy(*k).agg(*agg)
+    new = (s.select("symbol", "granularity", (F.col("date") - F.expr("INTERVAL 1 HOUR")).alias("date"),
                    "open", "close", "volume").groupBy(*k).agg(*agg))
     return old, new
 
@@ -111,6 +110,46 @@ def q_delete_channel(spark, sf_dir):
     return tables.delete_channel(m, 7)
 
 
+def _store(f) -> dict:
+    return {"messages": f.messages, "reactions": f.reactions, "polls": f.polls, "chats": f.chats}
+
+
+def _left(store: dict):
+    """Rows left per table, chat and (for message tables) message."""
+    parts = [df.select(F.lit(name).alias("kept_in"), "chat_id",
+                       (F.col("message_id") if "message_id" in df.columns else F.lit(None).cast("bigint")).alias("message_id"))
+             for name, df in store.items()]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
+def _left_sql(message_rule: str, chat_rule: str) -> str:
+    return f"""
+select 'messages' as kept_in, chat_id, message_id from messages where not ({message_rule})
+union all select 'reactions', chat_id, message_id from reactions where not ({message_rule})
+union all select 'polls', chat_id, message_id from polls where not ({message_rule})
+union all select 'chats', chat_id, cast(null as bigint) from chats where not ({chat_rule})"""
+
+
+POLLS_SQL = "polls as (select chat_id, message_id, event_type as poll_option_text, cast(floor(value) as int) as votes_abs from raw)"
+
+
+@register("delete_range_everywhere", sql_with(["messages", "reactions", "chats", "raw"],
+                                              _left_sql("chat_id = 5 and message_id > 20 and message_id <= 120", "false"), extra=POLLS_SQL))
+def q_delete_range_everywhere(spark, sf_dir):
+    """The `(min, max]` form over all message tables."""
+    return _left(tables.delete_range_everywhere(_store(fixture(spark, sf_dir)), 5, 20, 120, inclusive_low=False))
+
+
+@register("delete_channel_everywhere", sql_with(["messages", "reactions", "chats", "raw"], _left_sql("chat_id = 7", "chat_id = 7"),
+                                                extra=POLLS_SQL))
+def q_delete_channel_everywhere(spark, sf_dir):
+    """A chat removed from every table."""
+    return _left(tables.delete_channel_everywhere(_store(fixture(spark, sf_dir)), 7))
+
+
 @register("advance_watermark", sql_with(["messages", "chats"], """
 select coalesce(c.chat_id, t.chat_id) as chat_id, c.title, c.linked_chat_id,
   case when t.chat_id is not null then t.top_message_id else c.top_message_id end as top_message_id
@@ -187,6 +226,19 @@ def q_latest_setting(spark, sf_dir):
     return tables.latest_setting(_settings_log(fixture(spark, sf_dir)))
 
 
+@register("setting_or_default", sql_with(["raw"], """
+select q.project, q.key, coalesce(case when s.op <> 'unset' then s.value end, 'default') as value
+from (select distinct event_type as project, concat('u', cast(user_id % 9 as varchar)) as key from raw) q
+left join (select project, key, arg_max(op, seq) as op, arg_max(value, seq) as value from log group by all) s using (project, key)""",
+    extra=LOG_SQL))
+def q_setting_or_default(spark, sf_dir):
+    """D10 get: set, unset and unknown keys read with a default."""
+    f = fixture(spark, sf_dir)
+    wanted = f.raw.select(F.col("event_type").alias("project"),
+                          F.concat(F.lit("u"), (F.col("user_id") % 9).cast("string")).alias("key")).distinct()
+    return tables.get_setting(tables.latest_setting(_settings_log(f)), wanted, "default").select("project", "key", "value")
+
+
 LINK_SQL = """lc as (select *, case when chat_id % 3 = 0 then null when chat_id % 3 = 1 then ''
   else concat('https://t.me/+', cast(chat_id as varchar)) end as invite_link from chats),
 links as (select chat_id, case when chat_id % 4 = 0 then null else concat('L', cast(chat_id as varchar)) end

@@ -14,11 +14,37 @@ from .. import schemas
 from ..functions.scalars import canonical_symbol, from_date_parts, interval_code, na_to_null, symbol_is_valid
 
 MALFORMED = "_malformed"
+REACTION_LEVELS = 5   # fixed value: levels of nested reaction objects that are unwrapped
 CANDLE_FILE = ("day int, hour int, minute int, second int, open double, high double, low double, close double, "
                "volume double, adj_close double, symbol string, yyyymm int")
 CHAIN_CONTRACT = ("chat_id", "sent_by_linked_chat", "first_message_id", "last_message_id", "chain", "chain_len")
 
 
+def raw_schema(malformed: bool = True):
+    """The declared document schema as it is read: `reactions` as its JSON text, because it comes as a
+    list or as objects nested up to five deep, and a column for lines that do not parse."""
+    from pyspark.sql import types as T
+    fields = [T.StructField("reactions", T.StringType()) if f.name == "reactions" else f for f in schemas.RAW_MESSAGE.fields]
+    return T.StructType([*fields, *([T.StructField(MALFORMED, T.StringType())] if malformed else [])])
+
+
+def declared_shape(raw: DataFrame) -> DataFrame:
+    """Documents read by `raw_schema` in the declared schema: text and caption objects become their
+    `markdown`, reactions the innermost list (none: null)."""
+    inner = F.col("reactions")
+    for _ in range(REACTION_LEVELS):
+        inner = F.when(inner.startswith("{"), F.get_json_object(inner, "$.reactions")).otherwise(inner)
+    items = F.when(inner.startswith("["), F.from_json(inner, schemas.RAW_MESSAGE["reactions"].dataType["reactions"].dataType))
+
+    def markdown(c: str):
+        # an object read into a string column is its JSON text
+        return F.when(F.col(c).rlike(r'(?s)^\{\s*"'), F.get_json_object(c, "$.markdown")).otherwise(F.col(c)).alias(c)
+
+    shaped = {"reactions": F.when(items.isNotNull(), F.struct(items.alias("reactions"))).alias("reactions"),
+              "text": markdown("text"), "caption": markdown("caption")}
+    return raw.select(*[shaped.get(c, F.col(c)) for c in raw.columns])
+
+
 def read_raw_messages(spark: SparkSession, path: str) -> DataFrame:
     """JSON-lines message documents with the declared nested schema.
 
@@ -26,10 +52,8 @@ def read_raw_messages(spark: SparkSession, path: str) -> DataFrame:
     the reference).  A line that is no such document comes as a row of nulls with the line in
     `_malformed`: `split_malformed` parts the two, so nothing is lost unseen.
     """
-    from pyspark.sql import types as T
-    schema = T.StructType([*schemas.RAW_MESSAGE.fields, T.StructField(MALFORMED, T.StringType())])
-    return (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
-            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path))
+    return declared_shape(spark.read.schema(raw_schema()).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+                          .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path))
 
 
 def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -50,3 +50,17 @@ def test_vector_groups(spark):
                               "chat_id long, last_message_id long")
     sizes = {(r.chat_id, r.group): r["count"] for r in ingest.vector_groups(v, 10).groupBy("chat_id", "group").count().collect()}
     assert sizes == {(1, 0): 10, (1, 1): 15, (2, None): 9, (3, 0): 10}
+
+
+def test_text_objects_and_reaction_shapes(spark, tmp_path):
+    one = '{"emoji": "👍", "count": 2}'
+    rows = [f'{{"id": 1, "chat": {{"id": 7}}, "text": {{"markdown": "**hi**"}}, "reactions": [{one}]}}',
+            f'{{"id": 2, "chat": {{"id": 7}}, "text": "plain", "reactions": {{"reactions": {{"reactions": [{one}, {one}]}}}}}}',
+            '{"id": 3, "chat": {"id": 7}, "text": {"html": "x"}, "caption": {"markdown": "cap"}, "reactions": {"other": 1}}',
+            '{"id": 4, "chat": {"id": 7}, "reactions": {"reactions": []}}']
+    (tmp_path / "m.json").write_text("\n".join(rows))
+    docs, rejects = readers.split_malformed(readers.read_raw_messages(spark, str(tmp_path)))
+    got = {r.id: (r.text, r.caption, None if r.reactions is None else [(x.emoji, x["count"]) for x in r.reactions.reactions])
+           for r in docs.collect()}
+    assert got == {1: ("**hi**", None, [("👍", 2)]), 2: ("plain", None, [("👍", 2)] * 2), 3: (None, "cap", None), 4: (None, None, [])}
+    assert rejects.count() == 0

@@ -48,3 +48,9 @@ def test_tagged_and_json_responses(spark):
                                 ("garbage",), ('{"should_participate": false, "response_text": "y"}',)], "r string")
     out = [tuple(r[0]) for r in js.select(S.json_response("r")).collect()]
     assert out == [("x", 4), (None, None), (None, None)]
+
+
+def test_search_params_repeated_key_keeps_the_last(spark):
+    df = spark.createDataFrame([("a 1;;;b 2;;;a 3;;; ;;;c",), ("",), (None,)], "s string")
+    got = [r.m for r in df.select(S.search_params("s").alias("m")).collect()]
+    assert got == [{"a": "3", "b": "2", "c": None}, {}, None]
