@@ -17,9 +17,9 @@ task that is repeated or lost leaves nothing that is read.
 Reading back goes from the index: its rows come in shard order and are small; each
 task opens the shards its rows name and reads the slices.
 
-Words are encoded by the library once per task and kept in a bounded cache: the
-library's pre-tokens are encoded independently of each other, and a text with
-characters from U+0250 on is given to the library whole.
+The library encodes the words of a text independently of each other.  A plain text
+(characters below U+0250) is cut by the file's word pattern, and each distinct word is given to the library's model once per task and kept in a cache of
+bounded size; other texts are given to the library whole.
 
 Defined cases: a null or empty text has the end id only; repeated ids are ordered by
 their text; documents without an id come first; an empty table gives no shard.
@@ -30,6 +30,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,14 +39,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import chunks, scratch, text_table
+from .common import Memo, scratch, text_chunks, text_table
 
 END_ID = 2
 SEQUENCE = 2048
 #: Sequences per record batch of a shard.
 BATCH_SEQUENCES = 256
-#: Distinct words kept per task; a full cache is emptied.
-CACHE_WORDS = 300_000
+#: Distinct words per cache generation of a task.
+CACHE_WORDS = 250_000
 
 INDEX = "shard int, file string, doc_id {id_type}, local_start long, n_tokens long"
 
@@ -70,34 +71,43 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.kind = np.dtype(np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32)
-        self.cache: dict[str, bytes] = {}
+        self.model = self.library.model
+        self.symbols = {b: c for c, b in bpe.byte_symbols().items()}
+        self.memo = Memo(CACHE_WORDS)
 
     def _packed(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
-    def texts(self, texts: list[str | None], end_id: int) -> list[bytes]:
-        """Packed ids of each text, closed by the end id."""
-        end = np.array([end_id], self.kind).tobytes()
-        out: list[bytes] = [end] * len(texts)
-        plain: dict[int, list[str]] = {}
-        whole: list[int] = []
-        for i, t in enumerate(texts):
-            if t and bpe.plain_text(t):
-                plain[i] = bpe.plain_pieces(t)
-            elif t:
-                whole.append(i)
-        for i, ids in zip(whole, self._packed([texts[i] for i in whole])):
-            out[i] = ids + end
-        cache = self.cache
-        missing = {p for words in plain.values() for p in words if p not in cache}
-        if len(cache) + len(missing) > CACHE_WORDS:
-            cache.clear()
-            missing = {p for words in plain.values() for p in words}
-        order = list(missing)
-        cache.update(zip(order, self._packed(order)))
-        for i, words in plain.items():
-            out[i] = b"".join([cache[p] for p in words]) + end
-        return out
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words by the library's model, given their byte-level symbols."""
+        tokenize, symbols, kind = self.model.tokenize, self.symbols, self.kind.char
+        said = [w if w.isascii() and w.isprintable() else "".join(symbols[b] for b in w.encode()) for w in words]
+        return [array(kind, [t.id for t in tokenize(w)]).tobytes() for w in said]
+
+    def column(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of an Arrow column of texts, one text after the other, each closed by the end
+        id, and the number of ids of each text."""
+        n = len(column)
+        plain = bpe.plain_rows(column)
+        words, codes, offsets = bpe.word_table(column, plain)
+        known = self.memo.all_of(words, self._words)
+        entries = [known[w] for w in words]
+        odd = [int(i) for i in np.flatnonzero(~plain) if column[int(i)].is_valid]
+        whole = len(entries) + np.arange(len(odd))
+        entries += self._packed([column[i].as_py() for i in odd])
+        end = len(entries)
+        entries.append(np.array([end_id], self.kind).tobytes())
+        # behind each text's tokens: the whole of an odd text, then the end
+        row = np.concatenate([np.array(odd, np.int64), np.arange(n)])
+        by = np.argsort(row * 2 + (np.arange(len(row)) >= len(odd)), kind="stable")
+        codes = np.insert(codes.astype(np.int64), offsets[1:][row][by], np.concatenate([whole, np.full(n, end)])[by])
+        counts = np.diff(offsets) + 1
+        counts[odd] += 1
+        size = np.fromiter(map(len, entries), np.int64, len(entries)) // self.kind.itemsize
+        values = pa.array(np.frombuffer(b"".join(entries), self.kind))
+        lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size)))), values).take(pa.array(codes))
+        bounds = np.concatenate(([0], np.cumsum(size[codes])))[np.concatenate(([0], np.cumsum(counts)))]
+        return lists.flatten().to_numpy(zero_copy_only=False), np.diff(bounds)
 
 
 class ShardWriter:
@@ -120,9 +130,9 @@ class ShardWriter:
         mask = pa.FixedSizeListArray.from_arrays(pa.array(np.arange(len(flat)) < real), type=self.schema.field("mask").type)
         self.writer.write_batch(pa.RecordBatch.from_arrays([tokens, mask], schema=self.schema))
 
-    def add(self, packed: bytes) -> None:
-        flat = np.concatenate([self.rest, np.frombuffer(packed, self.kind)])
-        self.total += len(packed) // self.kind.itemsize
+    def add(self, ids: np.ndarray) -> None:
+        flat = np.concatenate([self.rest, ids])
+        self.total += len(ids)
         step = self.length * BATCH_SEQUENCES
         whole = len(flat) // step * step
         for at in range(0, whole, step):
@@ -199,17 +209,16 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, id_col: str
                 encoder = LibraryEncoder(tokenizer)
                 name = f"shard-{shard:06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}.arrow"
                 writer = ShardWriter(shards, name, encoder.kind, length)
-            texts = batch.column(1).to_pylist()
             starts, sizes = [], []
-            for a, b in chunks(texts):
-                for packed in encoder.texts(texts[a:b], end_id):
-                    starts.append(writer.total)
-                    writer.add(packed)
-                    sizes.append(writer.total - starts[-1])
+            for _, texts in text_chunks(batch.column(1)):
+                ids, size = encoder.column(texts, end_id)
+                starts.append(writer.total + np.cumsum(size) - size)
+                sizes.append(size)
+                writer.add(ids)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [pa.array([shard] * n, pa.int32()), pa.array([name] * n, pa.string()), batch.column(0),
-                 pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())],
+                 pa.array(np.concatenate(starts), pa.int64()), pa.array(np.concatenate(sizes), pa.int64())],
                 names=["shard", "file", "doc_id", "local_start", "n_tokens"])
         if writer is not None:
             writer.close()
