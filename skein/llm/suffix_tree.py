@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_type, in_training, scratch, words_of
+from .common import arrow_type, in_training, scratch, text_chunks, words_of
 from .token_files import _file_system, _make_folder
 
 MODULUS = 10
@@ -48,7 +48,7 @@ MIN_SYMBOL = 8
 MIN_CONTEXT = 16
 MIN_GAIN = 5.0
 #: Characters of text per block, and bytes of text per range of keys.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 5_000_000
 RANGE_BYTES = 12_000_000
 
 _RARE = np.uint64(0x9D39247E33776D41)
@@ -373,12 +373,14 @@ def write_blocks(docs: DataFrame, folder: str, parts: int) -> DataFrame:
             return as_batch(packet_rows(0, name, block.hashes[order], [counts[order]], parts), PACKET_ARROW)
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                held.append(row)
-                size += len(row[1] or "")
-                if size >= BLOCK_CHARS:
-                    yield close()
-                    held, size = [], 0
+            for a, texts in text_chunks(batch.column(1)):
+                for row in zip(batch.column(0).slice(a, len(texts)).to_pylist(), texts.to_pylist(),
+                               batch.column(2).slice(a, len(texts)).to_pylist()):
+                    held.append(row)
+                    size += len(row[1] or "")
+                    if size >= BLOCK_CHARS:
+                        yield close()
+                        held, size = [], 0
         if held:
             yield close()
 
