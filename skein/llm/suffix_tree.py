@@ -1,9 +1,10 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-Model.  Symbols are the words seen at least `min_symbol` times in training and the
-end of a text; all rarer and unknown words share one symbol and split its mass by
-their base probabilities.  A context (the last 1 .. `depth` words) is a candidate if
-it was followed at least `min_context` times.  It is retained if its next-symbol
+Model.  Symbols are the words that make up at least `symbol_share` of the training
+tokens (and occur `min_symbol` times) and the end of a text; all rarer and unknown
+words share one symbol and split its mass by their base probabilities.  A context (the
+last 1 .. `depth` words) is a candidate if it makes up at least `context_share` of the
+training tokens (and occurs `min_context` times): the tree's least probability.  It is retained if its next-symbol
 distribution diverges from its suffix's: the log-likelihood that its leave-one-out
 counts gain over the suffix's smoothed distribution must reach `min_gain` nats, and
 its suffix must be retained, so the states form a tree.  Next-symbol distributions
@@ -30,9 +31,10 @@ the base distribution (its one class holds all mass).
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,8 @@ MODULUS = 10
 DEPTH = 2
 MIN_SYMBOL = 8
 MIN_CONTEXT = 16
+SYMBOL_SHARE = 6e-7
+CONTEXT_SHARE = 3e-6
 MIN_GAIN = 5.0
 #: Characters of text per block, and bytes of text per range of keys.
 BLOCK_CHARS = 5_000_000
@@ -53,7 +57,7 @@ RANGE_BYTES = 12_000_000
 
 _RARE = np.uint64(0x9D39247E33776D41)
 _END_WORD = b""
-PACKET = "level int, part int, file string, keys binary, stats binary"
+PACKET = "level int, part int, file string, keys binary, stats binary, n long"
 ANSWER = "level int, part int, file string, totals binary, extra binary, n_keys long, n_sum long, n_rare_keys long, n_rare_sum long"
 
 
@@ -63,6 +67,13 @@ class Settings:
     min_symbol: int = MIN_SYMBOL
     min_context: int = MIN_CONTEXT
     min_gain: float = MIN_GAIN
+    symbol_share: float = SYMBOL_SHARE
+    context_share: float = CONTEXT_SHARE
+
+    def at(self, tokens: int) -> Settings:
+        """The counts that the shares mean for a corpus of `tokens`."""
+        return replace(self, min_symbol=max(self.min_symbol, math.ceil(self.symbol_share * tokens)),
+                       min_context=max(self.min_context, math.ceil(self.context_share * tokens)))
 
 
 # -- packing ------------------------------------------------------------------
@@ -98,11 +109,13 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def packet_rows(level: int, file: str, keys: np.ndarray, stats: np.ndarray, parts: int) -> list[tuple]:
-    """Packets of ascending distinct keys; `stats` has one column per statistic."""
+def packet_rows(level: int, file: str, keys: np.ndarray, stats: list[np.ndarray], parts: int) -> list[tuple]:
+    """Packets of ascending distinct keys; `stats` has one array per statistic.  Word packets carry the
+    sum of their counts."""
     part = part_of(keys, parts)
     cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
-    return [(level, int(part[a]), file, pack_keys(keys[a:b]), b"".join(planes(np.ascontiguousarray(s[a:b])) for s in stats))
+    return [(level, int(part[a]), file, pack_keys(keys[a:b]), b"".join(planes(np.ascontiguousarray(s[a:b])) for s in stats),
+             int(stats[0][a:b].sum()) if level == 0 else 0)
             for a, b in zip(cuts[:-1], cuts[1:])]
 
 
@@ -111,7 +124,8 @@ def as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, schema.types)], schema=schema)
 
 
-PACKET_ARROW = pa.schema([("level", pa.int32()), ("part", pa.int32()), ("file", pa.string()), ("keys", pa.binary()), ("stats", pa.binary())])
+PACKET_ARROW = pa.schema([("level", pa.int32()), ("part", pa.int32()), ("file", pa.string()), ("keys", pa.binary()), ("stats", pa.binary()),
+                          ("n", pa.int64())])
 ANSWER_ARROW = pa.schema([("level", pa.int32()), ("part", pa.int32()), ("file", pa.string()), ("totals", pa.binary()), ("extra", pa.binary()),
                           *((n, pa.int64()) for n in ("n_keys", "n_sum", "n_rare_keys", "n_rare_sum"))])
 
@@ -403,6 +417,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modul
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
+    packets = stored(write_blocks(rows, blocks, parts), "packets0")
+    settings = settings.at(packets.agg(F.sum("n")).first()[0] or 0)
+
     def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         level = key[0].as_py()
         return answer_contexts(table, settings) if level and level % 2 == 0 else answer_counts(table, settings)
@@ -410,7 +427,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modul
     def answered(packets: DataFrame, name: str) -> DataFrame:
         return stored(packets.groupBy("level", "part").applyInArrow(answer, ANSWER), name)
 
-    answers = answered(stored(write_blocks(rows, blocks, parts), "packets0"), "answers0")
+    answers = answered(packets, "answers0")
     f = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_keys", "n_sum", "n_rare_keys", "n_rare_sum"))).first()
     totals = Totals(f["n_sum"], f["n_keys"], f["n_rare_sum"], f["n_rare_keys"])
 

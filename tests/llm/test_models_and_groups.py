@@ -86,7 +86,8 @@ def test_scores_equal_the_plain_tree(spark, depth):
         return r.choice([" ", "\n", "  "]).join(out)
 
     rows = [(i, text()) for i in range(150)] + [(1000 + i, t) for i, t in EDGE if len(t or "") < 100]
-    s = suffix_tree.Settings(depth=depth, min_symbol=3, min_context=4, min_gain={1: 0.5, 2: -5.0, 3: -100.0}[depth])
+    s = suffix_tree.Settings(depth=depth, min_symbol=3, min_context=4, min_gain={1: 0.5, 2: -5.0, 3: -100.0}[depth], symbol_share=0, context_share=0)
+    assert suffix_tree.Settings(symbol_share=0.01, context_share=0.02).at(10_000).min_context == 200
     tree = PlainTree(rows, s)
     got = suffix_tree.score(edge_docs(spark, rows).repartition(3), settings=s).collect()
     assert sorted(g["doc_id"] for g in got) == sorted(i for i, _ in rows)
