@@ -16,8 +16,9 @@ and context rules matter) are prepared by the tokenizers library's own normalise
 and pre-tokeniser.  The file's special tokens are cut out first, as the library
 does.
 
-Words do not depend on each other, so each distinct word is encoded once per Python
-worker and kept in a cache of bounded size.
+Words do not depend on each other, so each distinct word is encoded once per task and
+kept in a cache of bounded size (freed with the task: Spark may keep several Python
+workers waiting, and each would hold its own).
 
 Defined cases: a null or empty text has no tokens and decodes to the empty
 string; a word of any length is one unit; other columns pass through.
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 
 from .common import Memo, map_texts
 
-#: Distinct words per cache generation and Python worker.
+#: Distinct words per cache generation of a task.
 CACHE_WORDS = 200_000
 
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\t-\r \x85\xa0\p{L}\p{N}]+")
@@ -323,21 +324,20 @@ def _digest_entry(bpe: Bpe) -> Callable[[list[int]], object]:
     return lambda ids: (" ".join(map(str, ids)), decode_ids(bpe, ids), len(ids))
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
-def worker_encoder(path: str, kind: str) -> Encoder:
-    """The encoder of this Python worker, shared by its tasks; `kind`: ids or digest."""
-    if (path, kind) not in _encoders:
-        bpe = tables(path)
-        _encoders[path, kind] = Encoder(bpe, _digest_entry(bpe) if kind == "digest" else lambda ids: ids)
-    return _encoders[path, kind]
+def encoder(path: str, kind: str) -> Encoder:
+    """An encoder whose entries are the ids of a word, or (`digest`) their strings."""
+    bpe = tables(path)
+    return Encoder(bpe, _digest_entry(bpe) if kind == "digest" else lambda ids: ids)
 
 
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", out_col: str = "token_ids") -> DataFrame:
     """`docs` with the token ids of each whole text."""
+    task: list[Encoder] = []  # filled in the task
+
     def run(texts):
-        return {out_col: [[i for word in row for i in word] for row in worker_encoder(tokenizer, "ids").texts(texts)]}
+        if not task:
+            task.append(encoder(tokenizer, "ids"))
+        return {out_col: [[i for word in row for i in word] for row in task[0].texts(texts)]}
 
     return map_texts(docs, text_col, run, f"`{out_col}` array<int>")
 
@@ -367,8 +367,12 @@ def _joined(parts: list[str], codes: np.ndarray, offsets: np.ndarray) -> list:
 
 def digest(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
     """Per document the number of tokens, the digest of its ids and of the text decoded from them."""
+    task: list[Encoder] = []  # filled in the task
+
     def run(column):
-        entries, codes, offsets = worker_encoder(tokenizer, "digest").column(column)
+        if not task:
+            task.append(encoder(tokenizer, "digest"))
+        entries, codes, offsets = task[0].column(column)
         sizes = np.concatenate(([0], np.cumsum(np.array([e[2] for e in entries], np.int64)[codes])))
         sha = lambda texts: [hashlib.sha256(t).hexdigest() for t in texts]
         return {"n_tokens": sizes[offsets[1:]] - sizes[offsets[:-1]],

@@ -33,7 +33,7 @@ def samples():
 
 
 def test_encoder_equals_the_library(library):
-    enc = bpe.worker_encoder(PATH, "ids")
+    enc = bpe.encoder(PATH, "ids")
     for text, row in zip(samples(), enc.texts(samples())):
         assert [i for token in row for i in token] == ids(library, text), text
 
