@@ -20,8 +20,7 @@ a logistic fit on the training documents.
 Fitting uses a bounded sample of the labelled training rows (`TRAIN_DOCS`, in hash
 order of the id, so it does not depend on how the data are partitioned).  Scoring
 needs the landmarks and one weight for each, whatever the corpus: one narrow pass
-over all whole texts, in which each distinct word meets the landmarks once per Python
-worker.  Only text and training labels are inputs.
+over all whole texts, in which each distinct word meets the landmarks once per task.  Only text and training labels are inputs.
 
 Defined cases: an empty or null text has the score of a text without words; without
 both labels in training every text gets the training share of toxic rows (Laplace
@@ -57,7 +56,7 @@ PENALTY = 0.03
 SENTENCE_WORDS = 24
 #: Longer words take the recursive form of the kernel.
 SHORT = 24
-#: Distinct tokens, and distinct words in them, per cache generation and Python worker.
+#: Distinct tokens, and distinct words in them, per cache generation of a task.
 CACHE_TOKENS = 250_000
 CACHE_WORDS = 150_000
 
@@ -218,13 +217,6 @@ class Model:
     slope: float
     offset: float
 
-    def key(self) -> str:
-        """Digest of the model's parameters."""
-        parts = [repr((self.bias, self.slope, self.offset)).encode()]
-        if self.landmarks is not None:
-            parts += [self.landmarks.place.tobytes(), self.landmarks.rows.tobytes(), self.weights.tobytes()]
-        return hashlib.sha256(b"".join(parts)).hexdigest()
-
     def probability(self, decision: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * decision + self.offset, -30, 30)))
 
@@ -376,18 +368,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return [(r["_text"], r["_label"]) for r in sorted(rows.collect(), key=lambda r: (r["_id"], r["_text"] or ""))]
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def score(docs: DataFrame, model: Model, text_col: str = "text", drop_text: bool = True) -> DataFrame:
     """`docs` with `score` (0 to 1) and `predicted`."""
-    key = model.key()
+    task: list[Scorer] = []  # filled in the task
 
     def run(texts):
-        if key not in _scorers:  # one per Python worker: its tasks share the caches
-            _scorers.clear()
-            _scorers[key] = Scorer(model)
-        p = _scorers[key].texts(texts)
+        if not task:
+            task.append(Scorer(model))
+        p = task[0].texts(texts)
         return {"score": p, "predicted": (p >= 0.5).astype(np.int32)}
 
     return map_texts(docs, text_col, run, "score double, predicted int", drop_text=drop_text)
