@@ -13,8 +13,8 @@ ColOrName = Column | str
 # Fixed values (must equal the reference's):
 # script letter ranges used by the language tests
 SCRIPT_RANGES = {
-    "arabic": "؀-ۿ",
-    "hebrew": "֐-׿",
+    "arabic": "\u0600-\u06FF",
+    "hebrew": "\u0590-\u05FF",
     "english": "a-zA-Z",
 }
 # hour offset of the activity statistics (fixed UTC+3)

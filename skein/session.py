@@ -47,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master.partition("[")[0] != "local":  # local-cluster has executors of its own
             # a machine-local folder is not visible to other executors
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         # Unset in a local session (tests, ad-hoc runs): a scratch folder of our own.
