@@ -57,8 +57,8 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int, bool]] = []
-        # open elements: name, own number, number of its region, excluded, inside an article
-        self.open: list[tuple[str, int, int, bool, bool]] = [("", 0, 0, False, False)]
+        # open elements: name, number of the region, excluded, inside an article
+        self.open: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
         self.made = 0
         self.parts: list[str] = []
         self.plain = 0
@@ -69,7 +69,7 @@ class _Lines(HTMLParser):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                _, number, region, excluded, _ = self.open[-1]
+                _, region, excluded, _ = self.open[-1]
                 self.lines.append((text, self.plain, self.tags, region, excluded))
                 self.tags = 0
             self.parts = []
@@ -114,9 +114,9 @@ class _Lines(HTMLParser):
                 if e[0] == "head":
                     self._close(i)
                     break
-        _, number, region, excluded, inside = self.open[-1]
+        _, region, excluded, inside = self.open[-1]
         out = self._excluded(tag, attrs, inside)
-        if not (block or out or tag in EXCLUDED):
+        if not (block or out):
             return
         if self.parts:
             self.flush()
@@ -128,10 +128,9 @@ class _Lines(HTMLParser):
             out = True
         elif article_header:
             out = excluded
-        own_region = region if inside else self.made
-        if tag == "p" or tag in HEADINGS:
-            own_region = region  # lines belong to the element around them
-        self.open.append((tag, self.made, own_region, excluded or out, inside or (tag in ARTICLES and not excluded and not out)))
+        # inside an article all lines are its own; lines of a paragraph belong to the element around it
+        own_region = region if inside or tag == "p" or tag in HEADINGS else self.made
+        self.open.append((tag, own_region, excluded or out, inside or (tag in ARTICLES and not excluded and not out)))
 
     def handle_startendtag(self, tag, attrs):
         self.tags += 1
@@ -151,7 +150,7 @@ class _Lines(HTMLParser):
                 self.flush()
 
     def handle_data(self, data):
-        if self.open[-1][3]:
+        if self.open[-1][2]:
             return
         if self.links == 0:
             self.plain += len(data)
