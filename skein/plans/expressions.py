@@ -278,3 +278,16 @@ def q_null_to_default(spark, sf_dir):
                     F.coalesce("reply_to_message_id", F.lit(-1)).alias("parent"),
                     F.when(S.nan_to_null(nan).isNull(), F.lit(None)).otherwise(S.na_to_null(raw_views))
                     .alias("views_text"))
+
+
+@register("sql_functions", sql_with(["messages"], r"""
+select chat_id, message_id, regexp_matches(text, '[\x{0590}-\x{05FF}]') as hebrew, regexp_matches(text, '[\x{0600}-\x{06FF}]') as arabic,
+  round(case when coalesce(text, '') = '' then 0 else length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / cast(length(text) as double) end
+    + 1e-9, 4) as english from messages"""))
+def q_sql_functions(spark, sf_dir):
+    """The SQL form of the script functions, called from SQL text."""
+    from ..functions import sql
+    sql.register(spark)
+    fixture(spark, sf_dir).messages.createOrReplaceTempView("sql_function_messages")
+    return spark.sql("""select chat_id, message_id, has_hebrew_text(text) as hebrew, has_arabic_text(text) as arabic,
+        round(english_pct(text) + 1e-9, 4) as english from sql_function_messages""")
