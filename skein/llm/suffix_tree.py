@@ -1,10 +1,10 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-Model.  Symbols are the words that make up at least `symbol_share` of the training
-tokens (and occur `min_symbol` times) and the end of a text; all rarer and unknown
-words share one symbol and split its mass by their base probabilities.  A context (the
-last 1 .. `depth` words) is a candidate if it makes up at least `context_share` of the
-training tokens (and occurs `min_context` times): the tree's least probability.  It is retained if its next-symbol
+Model.  Symbols are the words seen at least `min_symbol` times in training and the
+end of a text; all rarer and unknown words share one symbol and split its mass by
+their base probabilities.  A context (the last 1 .. `depth` words) is a candidate if
+it was followed at least `min_context` times, whatever the size of the corpus (a
+caller may set shares of the training tokens besides).  It is retained if its next-symbol
 distribution diverges from its suffix's: the log-likelihood that its leave-one-out
 counts gain over the suffix's smoothed distribution must reach `min_gain` nats, and
 its suffix must be retained, so the states form a tree.  Next-symbol distributions
@@ -48,8 +48,9 @@ MODULUS = 10
 DEPTH = 2
 MIN_SYMBOL = 8
 MIN_CONTEXT = 16
-SYMBOL_SHARE = 6e-7
-CONTEXT_SHARE = 3e-6
+#: No shares: the model grows with the corpus, only the divergence test ends it.
+SYMBOL_SHARE = 0.0
+CONTEXT_SHARE = 0.0
 MIN_GAIN = 5.0
 #: Characters of text per block, and bytes of text per range of keys.
 BLOCK_CHARS = 5_000_000
@@ -87,12 +88,21 @@ def unplanes(b: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(kind.itemsize, -1).T).view(kind).reshape(-1)
 
 
+def squeeze(b: bytes) -> bytes:
+    """Bytes with their length, compressed: most counts are small and most kinds few."""
+    return len(b).to_bytes(8, "little") + pa.compress(b, codec="zstd", asbytes=True)
+
+
+def unsqueeze(b: bytes) -> bytes:
+    return pa.decompress(b[8:], decompressed_size=int.from_bytes(b[:8], "little"), codec="zstd", asbytes=True)
+
+
 def pack_keys(keys: np.ndarray) -> bytes:
-    return planes(np.diff(keys, prepend=np.uint64(0)))
+    return squeeze(planes(np.diff(keys, prepend=np.uint64(0))))
 
 
 def unpack_keys(b: bytes) -> np.ndarray:
-    return np.cumsum(unplanes(b, "<u8"), dtype=np.uint64)
+    return np.cumsum(unplanes(unsqueeze(b), "<u8"), dtype=np.uint64)
 
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -114,7 +124,8 @@ def packet_rows(level: int, file: str, keys: np.ndarray, stats: list[np.ndarray]
     sum of their counts."""
     part = part_of(keys, parts)
     cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
-    return [(level, int(part[a]), file, pack_keys(keys[a:b]), b"".join(planes(np.ascontiguousarray(s[a:b])) for s in stats),
+    return [(level, int(part[a]), file, pack_keys(keys[a:b]),
+             squeeze(b"".join(planes(np.ascontiguousarray(s[a:b])) for s in stats)),
              int(stats[0][a:b].sum()) if level == 0 else 0)
             for a, b in zip(cuts[:-1], cuts[1:])]
 
@@ -310,7 +321,8 @@ def _stats(rows: list, sizes: np.ndarray, kind: str, columns: int) -> np.ndarray
     parts = []
     for r, n in zip(rows, sizes):
         step = n * np.dtype(kind).itemsize
-        parts.append(np.stack([unplanes(r["stats"][i * step:(i + 1) * step], kind) for i in range(columns)]))
+        packed = unsqueeze(r["stats"])
+        parts.append(np.stack([unplanes(packed[i * step:(i + 1) * step], kind) for i in range(columns)]))
     return np.concatenate(parts, axis=1)
 
 
@@ -330,7 +342,8 @@ def answer_counts(table: pa.Table, s: Settings) -> pa.Table:
     for i, r in enumerate(rows):
         a, b = cuts[i], cuts[i + 1]
         figures = (int(known.sum()), int(total.sum()), int(rare.sum()), int(total[rare].sum())) if i == 0 else (0, 0, 0, 0)
-        out.append((r["level"], r["part"], r["file"], planes(np.ascontiguousarray(total[place[a:b]])), np.packbits(owner[a:b]).tobytes(), *figures))
+        out.append((r["level"], r["part"], r["file"], squeeze(planes(np.ascontiguousarray(total[place[a:b]]))),
+                    squeeze(np.packbits(owner[a:b]).tobytes()), *figures))
     return pa.Table.from_batches([as_batch(out, ANSWER_ARROW)])
 
 
@@ -345,8 +358,8 @@ def answer_contexts(table: pa.Table, s: Settings) -> pa.Table:
     followers = np.where(keep, n, 0).astype("<i8")
     kinds = np.where(keep, t, 0).astype("<i8")
     cuts = np.concatenate(([0], np.cumsum(sizes)))
-    out = [(r["level"], r["part"], r["file"], planes(np.ascontiguousarray(followers[place[a:b]])),
-            planes(np.ascontiguousarray(kinds[place[a:b]])),
+    out = [(r["level"], r["part"], r["file"], squeeze(planes(np.ascontiguousarray(followers[place[a:b]]))),
+            squeeze(planes(np.ascontiguousarray(kinds[place[a:b]]))),
             len(distinct) if i == 0 else 0, int(keep.sum()) if i == 0 else 0, 0, 0)
            for i, (r, a, b) in enumerate(zip(rows, cuts[:-1], cuts[1:]))]
     return pa.Table.from_batches([as_batch(out, ANSWER_ARROW)])
@@ -358,11 +371,11 @@ def read_answers(table: pa.Table, depth: int) -> dict[int, tuple[np.ndarray, np.
     rows = sorted(table.select(["level", "part", "totals", "extra"]).to_pylist(), key=lambda r: (r["level"], r["part"]))
     for level in range(2 * depth + 1):
         mine = [r for r in rows if r["level"] == level]
-        first = [unplanes(r["totals"], "<i8") for r in mine]
+        first = [unplanes(unsqueeze(r["totals"]), "<i8") for r in mine]
         if level % 2 or not level:
-            second = [np.unpackbits(np.frombuffer(r["extra"], np.uint8), count=len(f)).astype(bool) for r, f in zip(mine, first)]
+            second = [np.unpackbits(np.frombuffer(unsqueeze(r["extra"]), np.uint8), count=len(f)).astype(bool) for r, f in zip(mine, first)]
         else:
-            second = [unplanes(r["extra"], "<i8") for r in mine]
+            second = [unplanes(unsqueeze(r["extra"]), "<i8") for r in mine]
         got[level] = (np.concatenate(first) if first else np.empty(0, np.int64),
                       np.concatenate(second) if second else np.empty(0, bool if level % 2 else np.int64))
     return got

@@ -105,6 +105,11 @@ def test_scores_equal_the_plain_tree(spark, depth):
         assert sum(tree.p(ctx, y) for y in symbols) == pytest.approx(1)
 
 
+def test_counts_do_not_rise_with_the_corpus():
+    s = suffix_tree.Settings().at(5_000_000_000)
+    assert (s.min_symbol, s.min_context) == (suffix_tree.MIN_SYMBOL, suffix_tree.MIN_CONTEXT)
+
+
 def test_suffix_tree_edge_rows(spark):
     got = suffix_tree.score(edge_docs(spark, [*EDGE, (None, "no id here")])).collect()
     assert len(got) == len(EDGE) + 1 and all(math.isfinite(g["score"]) for g in got)
