@@ -64,3 +64,34 @@ def test_text_objects_and_reaction_shapes(spark, tmp_path):
            for r in docs.collect()}
     assert got == {1: ("**hi**", None, [("👍", 2)]), 2: ("plain", None, [("👍", 2)] * 2), 3: (None, "cap", None), 4: (None, None, [])}
     assert rejects.count() == 0
+
+
+def test_keyed_streams_spread_a_hot_chat_and_carry_state(spark, tmp_path):
+    import datetime as dt
+    import inspect
+    assert "InPandas" not in inspect.getsource(ingest)  # no group of a chat's rows in one task
+    start = dt.datetime(2024, 1, 1)
+    cols = "chat_id long, message_id long, date timestamp_ntz, to_bot boolean"
+    rows = [(c, i, start + dt.timedelta(seconds=3 * i), i % 4 == 0) for c, n in ((1, 67), (2, 9), (3, 10)) for i in range(n)]
+    rows += [(1, 100, None, False), (2, 100, None, True)]
+    batches = [[r for r in rows if r[1] < 23], [r for r in rows if 23 <= r[1] < 28], [r for r in rows if r[1] >= 28]]
+    for k, b in enumerate(batches):
+        df = spark.createDataFrame(b, cols)
+        ingest.summary_rows(df, k, str(tmp_path / "s"))
+        ingest.gate_rows(df, k, str(tmp_path / "g"))
+    ingest.gate_rows(spark.createDataFrame(batches[-1], cols), 2, str(tmp_path / "g"))  # a retried batch
+    summaries, fired = set(), set()
+    for c in (1, 2, 3):
+        mine = sorted((r for r in rows if r[0] == c), key=lambda r: (r[2] is None, r[2], r[1]))
+        last = None
+        for r, (_, i, at, bot) in enumerate(mine, 1):
+            if -(-r // 5) * 5 + 5 <= len(mine):
+                summaries.add((c, i, -(-r // 5)))
+            if last is None or (at and at >= last + dt.timedelta(seconds=1 if bot else 10)):
+                fired.add((c, i, at))
+            if r >= 10 and r % 5 == 0 and at:
+                last = at
+    got = [tuple(r) for r in ingest.emitted(spark, str(tmp_path / "s"), ingest.SUMMARY_OUT).collect()]
+    assert len(got) == len(summaries) and set(got) == summaries
+    got = [tuple(r) for r in ingest.emitted(spark, str(tmp_path / "g"), ingest.GATE_OUT).collect()]
+    assert len(got) == len(fired) and set(got) == fired
