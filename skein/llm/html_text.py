@@ -3,8 +3,10 @@
 The standard library's parser streams events; each block of a page becomes a line
 with its text, the length of its text outside links, and the number of tags that
 belong to it.  Lines under elements that are no article text by their role (menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments)
-count with length 0.  The ratios of text to tags are smoothed with a Gaussian over
+headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) are
+left out.  Such an element outside articles is no such part if it holds an article (or
+main), as layout wrappers do; nor is a form or one marked by a class, id or role if the
+page has no article text and it holds most of the text outside links.  The ratios of text to tags are smoothed with a Gaussian over
 neighbouring lines, and lines at or above the threshold (the standard deviation of
 the smoothed ratios, at most half their maximum) form the content clusters.
 
@@ -19,7 +21,6 @@ their parent; other columns pass through.
 
 from __future__ import annotations
 
-import re
 from html.parser import HTMLParser
 
 import numpy as np
@@ -35,63 +36,71 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
                    "form h1 h2 h3 h4 h5 h6 head header hgroup html li main menu nav ol p pre section summary table tbody td tfoot "
                    "th thead title tr ul".split())
-#: Elements that never hold article text.
-EXCLUDED = frozenset("nav footer aside form script style noscript template iframe object svg canvas select button textarea dialog "
-                     "menu head title".split())
+#: Elements that never hold article text, and those that do only as wrappers.
+EXCLUDED = frozenset("script style noscript template iframe object svg canvas select button textarea head title".split())
+WRAPPERS = frozenset("nav footer aside form dialog menu".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLES = frozenset(("article", "main"))
-#: Words of class, id and role that mark such parts on other elements.
+#: Whole names of class, id and role that mark such parts on other elements.
 CUES = frozenset("nav navbar navigation menu breadcrumb breadcrumbs footer contentinfo sidebar aside complementary ad ads advert "
                  "adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent notice alert "
                  "popup modal newsletter subscribe subscription signup login search social share sharing related recommended "
                  "comment comments commentlist respond reply replies disqus widget pagination pager toolbar masthead".split())
 ARTICLE_CUES = frozenset("ad ads advert advertisement sponsored promo related recommended comment comments reply teaser".split())
-_CUE = re.compile(r"[a-z0-9]+")
 #: A start tag of the key closes these open elements first (implied end tags).
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 
 
 class _Lines(HTMLParser):
-    """Turns parser events into lines: (text, characters outside links, tags, region, excluded)."""
+    """Turns parser events into lines: (text, characters outside links, tags, region, innermost part, inside an article).
+
+    A part is an element that may be no article text: (the part around it, holds an article, may be kept for its text)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int, bool]] = []
-        # open elements: name, number of the region, excluded, inside an article
-        self.open: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+        self.lines: list[tuple[str, int, int, int, int, bool]] = []
+        # open elements: name, number of the region, excluded, inside an article, innermost part (0 for none)
+        self.open: list[tuple[str, int, bool, bool, int]] = [("", 0, False, False, 0)]
+        self.around: list[list] = [[0, False, False]]
         self.made = 0
         self.parts: list[str] = []
         self.plain = 0
         self.tags = 0
-        self.links = 0
+        # number of open elements where the open link began, 0 for none
+        self.link = 0
 
     def flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                _, region, excluded, _ = self.open[-1]
-                self.lines.append((text, self.plain, self.tags, region, excluded))
+                _, region, _, inside, part = self.open[-1]
+                self.lines.append((text, self.plain, self.tags, region, part, inside))
                 self.tags = 0
             self.parts = []
         self.plain = 0
 
-    def _excluded(self, tag: str, attrs, inside: bool) -> bool:
-        if tag in EXCLUDED or (tag == "header" and not inside):
-            return True
-        if not attrs or tag in ("html", "body", "main"):
-            return False
+    def _out(self, tag: str, attrs, inside: bool) -> str:
+        """"" for text, "never", "wrapper" or "cue"."""
+        if tag in EXCLUDED:
+            return "never"
+        plain = tag in ("html", "body", "main")
+        if attrs and not plain and any(n == "hidden" or (n == "aria-hidden" and v == "true") for n, v in attrs):
+            return "never"
+        if tag == "form":
+            return "cue"
+        if tag in WRAPPERS or (tag == "header" and not inside):
+            return "wrapper"
+        if not attrs or plain:
+            return ""
         cues = ARTICLE_CUES if tag == "article" else CUES
-        for name, value in attrs:
-            if name in ("class", "id", "role") and value and not cues.isdisjoint(_CUE.findall(value.lower())):
-                return True
-            if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
-        return False
+        return "cue" if any(n in ("class", "id", "role") and v and not cues.isdisjoint(v.lower().split()) for n, v in attrs) else ""
 
     def _close(self, at: int) -> None:
         """Close the open elements from place `at` on."""
         self.flush()
         del self.open[at:]
+        if self.link > len(self.open):
+            self.link = 0
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -99,8 +108,6 @@ class _Lines(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
-        if tag == "a":
-            self.links += 1
         block = tag in BLOCKS
         if block:
             self.flush()
@@ -114,8 +121,11 @@ class _Lines(HTMLParser):
                 if e[0] == "head":
                     self._close(i)
                     break
-        _, region, excluded, inside = self.open[-1]
-        out = self._excluded(tag, attrs, inside)
+        if tag == "a":
+            # an open link ends at the next; an anchor without an address is none
+            self.link = len(self.open) if any(n == "href" for n, _ in attrs) else 0
+        _, region, excluded, inside, part = self.open[-1]
+        out = self._out(tag, attrs, inside)
         if not (block or out):
             return
         if self.parts:
@@ -125,12 +135,21 @@ class _Lines(HTMLParser):
         article_header = tag == "header" and inside
         in_header = any(e[0] == "header" for e in self.open) if inside else False
         if in_header and block and tag not in HEADINGS:
-            out = True
+            out = "never"
         elif article_header:
-            out = excluded
+            out = ""
         # inside an article all lines are its own; lines of a paragraph belong to the element around it
         own_region = region if inside or tag == "p" or tag in HEADINGS else self.made
-        self.open.append((tag, own_region, excluded or out, inside or (tag in ARTICLES and not excluded and not out)))
+        if out in ("wrapper", "cue") and not excluded:
+            self.around.append([part, False, out == "cue" and not inside])
+            part = len(self.around) - 1
+        begins = tag in ARTICLES and not excluded and not out
+        if begins and not inside:
+            p = part
+            while p:
+                self.around[p][1] = True
+                p = self.around[p][0]
+        self.open.append((tag, own_region, excluded or out == "never", inside or begins, part))
 
     def handle_startendtag(self, tag, attrs):
         self.tags += 1
@@ -140,7 +159,7 @@ class _Lines(HTMLParser):
     def handle_endtag(self, tag):
         self.tags += 1
         if tag == "a":
-            self.links = max(0, self.links - 1)
+            self.link = 0
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0] == tag:
                 self._close(i)
@@ -152,11 +171,42 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         if self.open[-1][2]:
             return
-        if self.links == 0:
+        if not self.link:
             self.plain += len(data)
         self.parts.append(data)
 
 
+def _kept(parser: _Lines) -> list[tuple[str, int, int, int]]:
+    """The lines (text, characters outside links, tags, region) under no excluded part; a line takes on the tags
+    of the excluded ones before it."""
+    around, lines = parser.around, parser.lines
+    plain = [0] * len(around)
+    for line in lines:
+        p = line[4]
+        while p:
+            plain[p] += line[1]
+            p = around[p][0]
+    total = sum(line[1] for line in lines)
+
+    def excluded(most: bool) -> list[bool]:
+        out = [False] * len(around)
+        for i in range(1, len(around)):
+            up, holds, may = around[i]
+            out[i] = out[up] or not (holds or (most and may and 2 * plain[i] > total))
+        return out
+
+    out = excluded(False)
+    if not any(inside and not out[part] and n for _, n, _, _, part, inside in lines):
+        out = excluded(True)
+    kept, tags = [], 0
+    for text, n, t, region, part, _ in lines:
+        tags += t
+        if not out[part]:
+            kept.append((text, n, tags, region))
+            tags = 0
+    return kept
+
+
 def _smoothed(ratios: np.ndarray) -> np.ndarray:
     offsets = np.arange(-REACH, REACH + 1)
     kernel = np.exp(-offsets**2 / (2 * SIGMA**2))
@@ -171,14 +221,14 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = parser.lines
+    lines = _kept(parser)
     if not lines:
         return ""
-    ratios = np.array([0.0 if excluded else plain / max(1, tags) for _, plain, tags, _, excluded in lines])
+    ratios = np.array([plain / max(1, tags) for _, plain, tags, _ in lines])
     smooth = _smoothed(ratios)
     limit = min(float(smooth.std()), float(smooth.max()) / 2)
     named = {line[3] for line, s, r in zip(lines, smooth, ratios) if r > 0 and s >= limit}
-    return " ".join([text for text, _, _, region, excluded in lines if region in named and not excluded])
+    return " ".join([text for text, _, _, region in lines if region in named])
 
 
 def extract(pages: DataFrame, html_col: str = "html", drop_html: bool = True) -> DataFrame:

@@ -227,6 +227,24 @@ def test_main_text(spark):
     assert html_text.extract(pages.filter("false")).count() == 0
 
 
+LONG = "A long text that is the article of this page, yes."
+
+
+@pytest.mark.parametrize("page", [
+    *(f"<nav><a href=x>M</a></nav><div class='{c}'><article><p>{LONG}</p></article></div><footer>c</footer>"
+      for c in ("content-sidebar-wrap", "with-sidebar", "has-navbar", "no-comments", "widget", "x sidebar")),
+    f"<article class='post no-comments'><p>{LONG}</p></article>",
+    f"<div class=widget><p>{LONG}</p></div><div class=sidebar><p>short</p></div>",
+    f"<form action=x><div><p>{LONG}</p></div></form>", f"<form><main><p>{LONG}</p></main></form>",
+    f"<article><p>{LONG}</p><div class=comments><article><p>A reader.</p></article></div></article>",
+    f"<article><p>{LONG}</p></article><div class=comments><p>{'A reader says more. ' * 9}</p></div>",
+    f"<nav><a href=x>M<a name=top></nav><div><p>{LONG}</p></div>", f"<nav><ul><li><a href=x>M</ul></nav><div><p>{LONG}</p></div>",
+    f"<a name=top><article><p>{LONG}</p></article>", f"<div><a href=x></div><article><p>{LONG}</p></article>",
+])
+def test_wrappers_and_open_links_keep_the_article(page):
+    assert html_text.main_text(page) == LONG
+
+
 def test_given_pages_keep_their_article():
     import html as h
 
