@@ -207,28 +207,39 @@ def links(fps: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame
     return units.mapInArrow(compare, "src long, dst long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """`(doc_id, fp, component_id)`, one row per row of `docs` with an id."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """`(doc_id, fp)` of every row with an id, and `(fp, least_id, root)`: the smallest id and the component of each fingerprint."""
     prints = staged(fingerprints(text_table(docs, id_col, text_col).filter("doc_id is not null"), shingle=shingle), "simhash")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     parts = connected_components(links(distinct.select("fp"), radius))
-    # class representatives: the smallest id of each fingerprint, then of its component
     root = F.coalesce("component", "fp")
-    named = distinct.join(parts, distinct["fp"] == parts["node"], "left").select("fp", "least_id", root.alias("root"))
+    return prints, distinct.join(parts, distinct["fp"] == parts["node"], "left").select("fp", "least_id", root.alias("root"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """`(doc_id, fp, component_id)`, one row per row of `docs` with an id."""
+    prints, named = _classes(docs, id_col, text_col, shingle, radius)
+    # class representatives: the smallest id of each fingerprint, then of its component
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_print = named.join(ids, "root").select("fp", "component_id")
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of `docs` that represent their group: the row with the component's id.
-    Rows without an id stay; of repeated rows with one id, one stays."""
-    found = near_duplicates(docs, id_col, text_col, shingle, radius)
-    stay = found.filter("doc_id = component_id").select("doc_id").distinct().withColumnRenamed("doc_id", "_kept_id")
-    named = docs.filter(F.col(id_col).isNotNull())
-    kept = named.join(stay, named[id_col] == F.col("_kept_id"), "left_semi")
-    # the join has dealt the rows by id, so repeated ids need no further shuffle
-    return kept.dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))
+    """The rows of `docs` that represent their group: the row with the smallest id, then fingerprint.
+    Rows without an id stay; rows with one id stay one each if they are of different groups."""
+    _, named = _classes(docs, id_col, text_col, shingle, radius)
+    stay = named.groupBy("root").agg(F.min(F.struct("least_id", "fp")).alias("r")).select(
+        F.col("r.least_id").alias("_kept_id"), F.col("r.fp").alias("_kept_fp"))
+
+    def own(texts):
+        return {"_own_fp": np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)}
+
+    rows = map_texts(docs.filter(F.col(id_col).isNotNull()), text_col, own, "_own_fp long")
+    kept = rows.join(stay, (rows[id_col] == F.col("_kept_id")) & (rows["_own_fp"] == F.col("_kept_fp")), "left_semi")
+    # the join has dealt the rows by both, so repeated rows need no further shuffle
+    kept = kept.dropDuplicates([id_col, "_own_fp"]).select(*docs.columns)
+    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
 
 
 def hex_print(column):

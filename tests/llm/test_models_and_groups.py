@@ -266,6 +266,13 @@ def test_near_duplicates_edge_rows(spark):
     assert simhash.near_duplicates(empty_docs(spark)).count() == 0
 
 
+def test_rows_of_one_id_in_different_groups_stay(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(200)) for c in "uvw"]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (2, texts[1]), (2, texts[2]), (3, texts[2]), (None, texts[0])]
+    kept = simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r["doc_id"] or 0), r["text"]) for r in kept) == sorted([(0, texts[0]), (1, texts[0]), (1, texts[1]), (2, texts[2])])
+
+
 # -- pipeline --------------------------------------------------------------------------------
 def test_pipeline_equals_the_plain_stages(spark):
     import duckdb
