@@ -49,6 +49,18 @@ def arrow_type(dt: T.DataType) -> pa.DataType:
     return to_arrow_type(dt)
 
 
+def batch_maker(ddl: str) -> Callable[[dict[str, Sequence]], pa.RecordBatch]:
+    """Made on the driver: turns columns by name into a batch of the schema `ddl` (columns left out are null)."""
+    fields = [(f.name, arrow_type(f.dataType)) for f in T._parse_datatype_string(ddl).fields]
+
+    def make(columns: dict[str, Sequence]) -> pa.RecordBatch:
+        rows = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], type=t) if c in columns else pa.nulls(rows, t) for c, t in fields],
+                                          names=[c for c, _ in fields])
+
+    return make
+
+
 def map_texts(df: DataFrame, text_col: str, fn: Callable[[list[str | None]], dict[str, Sequence]],
               fields: str, drop_text: bool = False, keep: Callable[[dict[str, Sequence]], np.ndarray] | None = None,
               as_arrow: bool = False) -> DataFrame:

@@ -10,7 +10,7 @@ from skein.llm.queries import ORACLE, QUERIES
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_near_dedup", "benchmark_decontamination", "pii", "bpe"]
 
 
