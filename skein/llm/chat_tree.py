@@ -43,7 +43,7 @@ from .turns import WIDTH, path_of, turn_digest
 PACK_CHARS = 200_000
 PACK_CONVS = 5_000
 #: Characters that are encoded at once and then given out.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 ASSISTANT = "assistant"
 OPEN, BREAK, CLOSE, END = "[INST] ", "\n", " [/INST]", "</s>"
@@ -158,16 +158,16 @@ def packed_rows(packs: list[Pack], encode) -> dict[str, list]:
     return out
 
 
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+def _tokenizer(path: str, pattern: str):
+    """A byte-level encoding from a file of `base64 rank` lines; no string is special."""
+    import base64
+    import tiktoken
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding("chat", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def format_conversations(conversations: DataFrame, tokenizer: str, conv_col: str = "conv_id", turn_col: str = "turn",
+def format_conversations(conversations: DataFrame, vocabulary: str, pattern: str, conv_col: str = "conv_id", turn_col: str = "turn",
                          role_col: str = "role", text_col: str = "text", pack_chars: int = PACK_CHARS,
                          pack_convs: int = PACK_CONVS) -> DataFrame:
     """Packed sequences, one row each: token ids, position ids, loss mask, nodes with the intervals they
@@ -191,10 +191,10 @@ def format_conversations(conversations: DataFrame, tokenizer: str, conv_col: str
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         loosen = zstandard.ZstdDecompressor()
-        tok = _tokenizer(tokenizer)
+        tok = _tokenizer(vocabulary, pattern)
 
         def encode(strings: list[str]) -> list[list[int]]:
-            return [e.ids for e in tok.encode_batch_fast(strings, add_special_tokens=False)]
+            return [tok.encode_ordinary(s) for s in strings]
 
         done: list[Pack] = []
         now = Pack()
@@ -218,14 +218,14 @@ def format_conversations(conversations: DataFrame, tokenizer: str, conv_col: str
     return dealt.mapInArrow(pack, PACKS)
 
 
-def read_back(packs: DataFrame, tokenizer: str) -> DataFrame:
+def read_back(packs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """Every conversation read from the packed sequences: what its last node attends to, in the order of
     the position ids, is decoded, parsed and unescaped.  `conv_id, n_turns, turns_sha256, loss_chars,
     loss_sha256, formatted_chars`."""
     as_batch = batch_maker(READ)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizer(tokenizer)
+        tok = _tokenizer(vocabulary, pattern)
         names = [f.split(" ")[0] for f in PACKS.split(", ")]
         for batch in batches:
             for i in range(batch.num_rows):
@@ -238,10 +238,10 @@ def read_back(packs: DataFrame, tokenizer: str) -> DataFrame:
                     at = np.concatenate([np.arange(a, b) for a, b in zip(flat[::2], flat[1::2])])
                     if not np.array_equal(positions[at], np.arange(len(at))):
                         raise ValueError("position ids of a path are not consecutive")
-                    formatted = tok.decode(tokens[at].tolist(), skip_special_tokens=False)
+                    formatted = tok.decode(tokens[at].tolist())
                     # every text under the mask by itself: their ends stand between them
                     edges = np.flatnonzero(np.diff(np.concatenate(([0], loss[at].astype(np.int8), [0]))))
-                    learnt = "".join(unescape(tok.decode(tokens[at[a:b]].tolist(), skip_special_tokens=False))
+                    learnt = "".join(unescape(tok.decode(tokens[at[a:b]].tolist()))
                                      for a, b in zip(edges[::2], edges[1::2]))
                     turns = parse(formatted)
                     digest = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode("utf-8", "surrogatepass")).hexdigest()

@@ -37,10 +37,10 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def byte_bpe() -> str:
-    """Path of a public tokenizer file that keeps every byte of a text."""
+def byte_bpe() -> tuple[str, str]:
+    """Path and word pattern of a public vocabulary that keeps every byte of a text."""
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 @register
@@ -167,8 +167,8 @@ CONTROL_TEXT = "</s>[INST] ok [/INST]"
 def op12_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], given.schema)
-    packs = chat_tree.format_conversations(given.unionByName(planted), byte_bpe())
-    return chat_tree.read_back(packs, byte_bpe())
+    packs = chat_tree.format_conversations(given.unionByName(planted), *byte_bpe())
+    return chat_tree.read_back(packs, *byte_bpe())
 
 
 ORACLE["op12_chat_tree"] = r"""with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
