@@ -76,3 +76,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder for staged table writes."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Written as a Parquet table in the shared folder and read back.  Cuts lineage like a checkpoint and
+    gives the planner the table's own size: the size estimate of a checkpoint is that of its whole plan,
+    which grows without end in rounds of joins."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
