@@ -66,32 +66,51 @@ def test_text_objects_and_reaction_shapes(spark, tmp_path):
     assert rejects.count() == 0
 
 
-def test_keyed_streams_spread_a_hot_chat_and_carry_state(spark, tmp_path):
+def _plain_gate(mine, timers, watermark):
+    """(firing, timed) of one chat's rows `(id, date, to_bot)` in order."""
+    import datetime as dt
+    fired, timed, last, waiting = [], [], None, None
+    for r, (i, at, bot) in enumerate(mine, 1):
+        if waiting and at and at >= waiting[1]:
+            timed.append(waiting)
+        due = None if last is None else last + dt.timedelta(seconds=1 if bot else 10)
+        if due is None or (at and at >= due):
+            fired.append((i, at))
+        waiting = (i, due) if due and at and at < due else None
+        if r >= 10 and r % 5 == 0 and at:
+            last = at
+    if waiting and waiting[1] < watermark:
+        timed.append(waiting)
+    return fired, timed if timers else []
+
+
+@pytest.mark.parametrize("timers", [False, True])
+def test_keyed_streams_carry_state_over_batches_and_a_restart(spark, tmp_path, timers):
     import datetime as dt
-    import inspect
-    assert "InPandas" not in inspect.getsource(ingest)  # no group of a chat's rows in one task
     start = dt.datetime(2024, 1, 1)
-    cols = "chat_id long, message_id long, date timestamp_ntz, to_bot boolean"
-    rows = [(c, i, start + dt.timedelta(seconds=3 * i), i % 4 == 0) for c, n in ((1, 67), (2, 9), (3, 10)) for i in range(n)]
-    rows += [(1, 100, None, False), (2, 100, None, True)]
-    batches = [[r for r in rows if r[1] < 23], [r for r in rows if 23 <= r[1] < 28], [r for r in rows if r[1] >= 28]]
-    for k, b in enumerate(batches):
-        df = spark.createDataFrame(b, cols)
-        ingest.summary_rows(df, k, str(tmp_path / "s"))
-        ingest.gate_rows(df, k, str(tmp_path / "g"))
-    ingest.gate_rows(spark.createDataFrame(batches[-1], cols), 2, str(tmp_path / "g"))  # a retried batch
-    summaries, fired = set(), set()
-    for c in (1, 2, 3):
-        mine = sorted((r for r in rows if r[0] == c), key=lambda r: (r[2] is None, r[2], r[1]))
-        last = None
-        for r, (_, i, at, bot) in enumerate(mine, 1):
-            if -(-r // 5) * 5 + 5 <= len(mine):
-                summaries.add((c, i, -(-r // 5)))
-            if last is None or (at and at >= last + dt.timedelta(seconds=1 if bot else 10)):
-                fired.add((c, i, at))
-            if r >= 10 and r % 5 == 0 and at:
-                last = at
+    cols = "chat_id long, message_id long, date timestamp_ntz, reply_sender long"
+    rows = [(c, i, start + dt.timedelta(seconds=3 * i), 7 if i % 4 == 0 else 8) for c, n in ((1, 67), (2, 9), (3, 10), (4, 11)) for i in range(n)]
+    if not timers:  # rows without a date have no event time
+        rows += [(1, 100, None, 8), (2, 100, None, 7)]
+    rows += [(9, 1, start + dt.timedelta(hours=3), 8)]  # moves the watermark past all of them
+    ends = [10, 23, 28, 40, 50, 1000]
+    parts = [[r for r in rows if (0 if k == 0 else ends[k - 1]) <= (999 if r[0] == 9 or r[2] is None else r[1]) < e] for k, e in enumerate(ends)]
+    for go in (parts[:3], parts[3:]):  # two queries on one checkpoint
+        for part in go:
+            spark.createDataFrame(part, cols).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        read = lambda: spark.readStream.schema(cols).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        ingest.summary_stream(read(), str(tmp_path / "s"), str(tmp_path / "sc")).awaitTermination()
+        q = ingest.reply_gate_stream(read(), 7, str(tmp_path / "g"), str(tmp_path / "gc"), timers=timers)
+        q.awaitTermination()
+        assert sum(p.numInputRows > 0 for p in q.recentProgress) == 3
+    summaries, want = set(), set()
+    for c in {r[0] for r in rows}:
+        mine = [(r[1], r[2], r[3] == 7) for r in sorted((r for r in rows if r[0] == c), key=lambda r: (r[2] is None, r[2], r[1]))]
+        summaries |= {(c, i, -(-r // 5)) for r, (i, _, _) in enumerate(mine, 1) if -(-r // 5) * 5 + 5 <= len(mine)}
+        fired, timed = _plain_gate(mine, timers, start + dt.timedelta(hours=2))
+        want |= {(c, *f, False) for f in fired} | {(c, *t, True) for t in timed}
     got = [tuple(r) for r in ingest.emitted(spark, str(tmp_path / "s"), ingest.SUMMARY_OUT).collect()]
     assert len(got) == len(summaries) and set(got) == summaries
     got = [tuple(r) for r in ingest.emitted(spark, str(tmp_path / "g"), ingest.GATE_OUT).collect()]
-    assert len(got) == len(fired) and set(got) == fired
+    assert len(got) == len(want) and set(got) == want
+    assert any(g[3] for g in got) == timers
