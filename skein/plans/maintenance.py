@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import tables
+from ..session import scratch_path
+from ..sources import buckets
 from .fixtures import fixture, sql_with
 from .registry import register
 
@@ -37,6 +39,25 @@ def q_upsert_coalesce(spark, sf_dir):
     return tables.upsert_coalesce(f.users, _updates(f), ["sender_id"], order=["o_orderkey"])
 
 
+STORE_BUCKETS = 16
+
+
+@register("upsert_bucketed", sql_with(["users"], """
+select coalesce(o.sender_id, n.sender_id) as sender_id, coalesce(n.first_name, o.first_name) as first_name,
+  coalesce(case when o.sender_id % 97 = 0 then 'second' end, n.last_name, o.last_name) as last_name, o.phone_number
+from users o full join u1 n on o.sender_id = n.sender_id""", extra=UPD_SQL))
+def q_upsert_bucketed(spark, sf_dir):
+    """D01 on a stored table: two merges that rewrite just the buckets they touch."""
+    f = fixture(spark, sf_dir)
+    root, schema = scratch_path(spark, "users-store"), "sender_id long, first_name string, last_name string, phone_number string"
+    buckets.create_store(f.users.select("sender_id", "first_name", "last_name", "phone_number"), root, ["sender_id"], STORE_BUCKETS)
+    updates = tables.dedupe_first_by_key(_updates(f), ["sender_id"], ["o_orderkey"]).drop("o_orderkey")
+    buckets.merge_store(updates, root, schema, ["sender_id"], STORE_BUCKETS)
+    few = f.users.filter("sender_id % 97 = 0").select("sender_id", F.lit("second").alias("last_name"))
+    buckets.merge_store(few, root, schema, ["sender_id"], STORE_BUCKETS)
+    return buckets.read_store(spark, root, schema)
+
+
 @register("dedupe_first_by_key", sql_with([], "select sender_id, first_name, last_name, o_orderkey from u1",
                                           extra=UPD_SQL))
 def q_dedupe_first_by_key(spark, sf_dir):

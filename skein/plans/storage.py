@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import language, tables, threads
 from ..session import scratch_path
-from ..sources import readers, sinks
+from ..sources import buckets, readers, sinks
 from .chains import CHAIN_SQL, chain_sql
 from .fixtures import fixture, sql_with
 from .registry import register
@@ -192,6 +192,17 @@ def q_layout_hash(spark, sf_dir):
     return r.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("chat_id").alias("chats"))
 
 
+@register("layout_bucketed", sql_with(["messages"], """
+select m.chat_id, m.message_id, m.reply_to_message_id, p.sender_id as parent_sender_id, p.date as parent_date
+from messages m join messages p on p.chat_id = m.chat_id and p.message_id = m.reply_to_message_id"""))
+def q_layout_bucketed(spark, sf_dir):
+    """Messages hashed by their key into a catalog table; replies meet their parents there, unshuffled."""
+    m = fixture(spark, sf_dir).messages.select("chat_id", "message_id", "reply_to_message_id", "sender_id", "date")
+    path = scratch_path(spark, "bucketed")
+    table = "messages_" + path.rpartition("-")[2]
+    return threads.reply_pairs(buckets.write_bucketed(m, table, ["chat_id", "message_id"], 16, path))
+
+
 @register("layout_bars", sql_with(["stocks"], """
 select symbol, granularity, date, open, close, volume, cast(year(date) as int) as year from stocks
 where granularity = '5m' and year(date) = 1995"""))

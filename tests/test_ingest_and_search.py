@@ -114,3 +114,45 @@ def test_keyed_streams_carry_state_over_batches_and_a_restart(spark, tmp_path, t
     got = [tuple(r) for r in ingest.emitted(spark, str(tmp_path / "g"), ingest.GATE_OUT).collect()]
     assert len(got) == len(want) and set(got) == want
     assert any(g[3] for g in got) == timers
+
+
+def _raw_batch(spark, tmp_path, name, ids, text):
+    import json
+    folder = tmp_path / name
+    folder.mkdir()
+    docs = [{"id": i, "chat": {"id": 7, "title": f"t {text}"}, "from_user": {"id": 5 + i, "first_name": text}, "text": text,
+             "date": f"2024-01-0{1 + i % 9}T00:00:00", "reactions": {"reactions": [{"emoji": "👍", "count": i}]}} for i in ids]
+    (folder / "m.json").write_text("\n".join(map(json.dumps, docs)))
+    return readers.read_raw_messages(spark, str(folder))
+
+
+def test_a_batch_is_seen_with_all_its_tables_or_not_at_all(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "store")
+    ingest.write_batch(_raw_batch(spark, tmp_path, "a", range(3), "old"), 0, root)
+    before = {n: sorted(map(str, t.collect())) for n, t in ingest.current_tables(spark, root).items()}
+    real = ingest.normalise_batch
+
+    def failing(docs):
+        parts = real(docs)
+        return parts | {"polls": parts["polls"].withColumn("chat_id", F.raise_error(F.lit("lost")).cast("long")),
+                        "chats": parts["chats"].withColumn("title", F.raise_error(F.lit("lost")))}
+
+    monkeypatch.setattr(ingest, "normalise_batch", failing)
+    second = _raw_batch(spark, tmp_path, "b", range(2, 6), "new")
+    with pytest.raises(Exception, match="lost"):
+        ingest.write_batch(second, 1, root)
+    assert (tmp_path / "store" / "messages" / "batch_id=1" / "_SUCCESS").exists()  # some tables were written
+    assert ingest.committed(spark, root) == [0]
+    assert {n: sorted(map(str, t.collect())) for n, t in ingest.current_tables(spark, root).items()} == before
+    monkeypatch.setattr(ingest, "normalise_batch", real)
+    ingest.write_batch(second, 1, root)  # the retry
+    tables = ingest.current_tables(spark, root)
+    assert {r.message_id: r.text for r in tables["messages"].collect()} == {0: "old", 1: "old", **{i: "new" for i in range(2, 6)}}
+    assert tables["users"].count() == 6 and tables["chats"].first()["title"] == "t new"
+    files = sorted((tmp_path / "store").rglob("batch_id=1/*.parquet"))
+    ingest.write_batch(second, 1, root)  # committed: not written again
+    assert sorted((tmp_path / "store").rglob("batch_id=1/*.parquet")) == files
+    # a snapshot holds committed batches only, and an older moment can still be read
+    assert ingest.compact(spark, root, "messages") == 1
+    assert ingest.current_table(spark, root, "messages").count() == 6
+    assert ingest.current_table(spark, root, "messages", [0]).count() == 3
