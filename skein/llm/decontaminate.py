@@ -9,21 +9,22 @@ compared with the text word by word.
 
 Scale: the patterns are a stated query set.  They are cut by hash into blocks of
 a checked size, and each block is one narrow pass over the documents (no
-shuffle); one block is enough for ordinary benchmarks.
+shuffle), written to the shared folder before the next; one block is enough for ordinary benchmarks.
 
 Defined cases: a null or empty text has no words, no hits and is not
 contaminated; items without words give no window; repeated items and windows
-count once per item id; null item ids are left out; other columns pass through.
+count once per item id; words in a window of an item without an id are hit, but the item is in no
+list; other columns pass through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, staged
 
 WINDOW = 10
 #: Bytes of patterns sent to the tasks at once; more patterns take more passes.
@@ -118,14 +119,14 @@ def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col:
         return {"_windows": rows}
 
     items = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(text_col).cast("string").alias("_text"))
-    return (map_texts(items.filter("item_id is not null"), "_text", cut, "_windows array<string>", drop_text=True)
+    return (map_texts(items, "_text", cut, "_windows array<string>", drop_text=True)
             .select(F.explode("_windows").alias("window"), "item_id").distinct())
 
 
-def pattern_blocks(windows: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[list[tuple[str, str]]]:
+def pattern_blocks(windows: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str | None]]]:
     """The windows in blocks of about `block_bytes`, dealt by hash (each block is
     collected alone, so what the driver holds has a checked size)."""
-    size = windows.agg(F.sum(F.octet_length("window") + F.octet_length("item_id") + 64)).first()[0] or 0
+    size = windows.agg(F.sum(F.octet_length("window") + F.coalesce(F.octet_length("item_id"), F.lit(0)) + 64)).first()[0] or 0
     n = max(1, -(-int(size) // block_bytes))
     for k in range(n):
         part = windows if n == 1 else windows.filter(F.pmod(F.xxhash64("window", "item_id"), F.lit(n)) == k)
@@ -148,11 +149,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
                 s, i = patterns.hits(w)
                 n.append(len(w))
                 spans.append([{"start": a, "end": b} for a, b in union_spans(s)])
-                items.append(sorted(i))
+                items.append(sorted(x for x in i if x is not None))
             return {"n_words": n, "_spans": spans, "_items": items}
 
         # further blocks add their spans and items to those found so far, row by row
-        src = docs if out is None else out.withColumnsRenamed({"_spans": "_spans0", "_items": "_items0"})
+        # (written in between: no task and no plan holds the patterns of two blocks)
+        src = docs if out is None else staged(out, "decontamination").withColumnsRenamed({"_spans": "_spans0", "_items": "_items0"})
         got = map_texts(src, text_col, scan, "n_words long, _spans array<struct<start:int,end:int>>, _items array<string>")
         if out is not None:
             got = (got.withColumn("_spans", F.concat("_spans0", "_spans")).withColumn("_items", F.array_union("_items0", "_items"))

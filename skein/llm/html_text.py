@@ -12,15 +12,22 @@ the smoothed ratios, at most half their maximum) form the content clusters.
 
 A cluster names its region: the outermost article (or main) element around it, else
 the element that holds its lines.  The text of a page is all lines of the named
-regions in page order, short ones too, without the lines under excluded elements.
+regions in page order, short ones too, without the lines under excluded elements; if articles hold at
+least half of the text outside links, just their regions count.
 
-Narrow: one pass over the pages, no shuffle; whole pages.  Defined cases: a null or
-empty page, and one without text, has an empty text; unclosed elements end with
-their parent; other columns pass through.
+A name of class, id or role marks a part if it, its first or its last piece between hyphens or
+underscores is a cue (`site-footer`, `comments-area`), unless it begins like `no-` or `with-`.
+
+Narrow: one pass over the pages, no shuffle; whole pages, each in time linear in its length.  Defined
+cases: a null or empty page, and one without text, has an empty text; unclosed elements end with
+their parent; a comment or tag that the page's end cuts off is markup, not text, and `<![..>` ends at the
+next `>`; should the parser give up on a page, the text before that place counts; other columns pass through.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -47,10 +54,23 @@ CUES = frozenset("nav navbar navigation menu breadcrumb breadcrumbs footer conte
                  "popup modal newsletter subscribe subscription signup login search social share sharing related recommended "
                  "comment comments commentlist respond reply replies disqus widget pagination pager toolbar masthead".split())
 ARTICLE_CUES = frozenset("ad ads advert advertisement sponsored promo related recommended comment comments reply teaser".split())
+#: First pieces of names that tell of a part elsewhere (`with-sidebar`, `no-comments`).
+ELSEWHERE = frozenset("no has with without hide show".split())
+#: Markup that the end of the page cuts off.
+CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
 #: A start tag of the key closes these open elements first (implied end tags).
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 
 
+def _marked(value: str, cues: frozenset[str]) -> bool:
+    """Does a class, id or role hold a name that is a cue, or whose first or last piece is one?"""
+    for name in value.lower().split():
+        pieces = name.replace("_", "-").split("-")
+        if name in cues or (pieces[0] not in ELSEWHERE and (pieces[0] in cues or pieces[-1] in cues)):
+            return True
+    return False
+
+
 class _Lines(HTMLParser):
     """Turns parser events into lines: (text, characters outside links, tags, region, innermost part, inside an article).
 
@@ -61,6 +81,8 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int, int, int, int, bool]] = []
         # open elements: name, number of the region, excluded, inside an article, innermost part (0 for none)
         self.open: list[tuple[str, int, bool, bool, int]] = [("", 0, False, False, 0)]
+        # how many elements of a name are open: what is not open is not looked for
+        self.names: Counter[str] = Counter()
         self.around: list[list] = [[0, False, False]]
         self.made = 0
         self.parts: list[str] = []
@@ -93,11 +115,12 @@ class _Lines(HTMLParser):
         if not attrs or plain:
             return ""
         cues = ARTICLE_CUES if tag == "article" else CUES
-        return "cue" if any(n in ("class", "id", "role") and v and not cues.isdisjoint(v.lower().split()) for n, v in attrs) else ""
+        return "cue" if any(n in ("class", "id", "role") and v and _marked(v, cues) for n, v in attrs) else ""
 
     def _close(self, at: int) -> None:
         """Close the open elements from place `at` on."""
         self.flush()
+        self.names.subtract(e[0] for e in self.open[at:])
         del self.open[at:]
         if self.link > len(self.open):
             self.link = 0
@@ -116,7 +139,7 @@ class _Lines(HTMLParser):
             for name in _CLOSES.get(tag, ()):
                 if self.open[-1][0] == name:
                     self._close(len(self.open) - 1)
-        if tag == "body":
+        if tag == "body" and self.names["head"] > 0:
             for i, e in enumerate(self.open):
                 if e[0] == "head":
                     self._close(i)
@@ -133,7 +156,7 @@ class _Lines(HTMLParser):
         self.made += 1
         # inside an article's own header only its headings are article text
         article_header = tag == "header" and inside
-        in_header = any(e[0] == "header" for e in self.open) if inside else False
+        in_header = inside and self.names["header"] > 0
         if in_header and block and tag not in HEADINGS:
             out = "never"
         elif article_header:
@@ -146,10 +169,11 @@ class _Lines(HTMLParser):
         begins = tag in ARTICLES and not excluded and not out
         if begins and not inside:
             p = part
-            while p:
+            while p and not self.around[p][1]:
                 self.around[p][1] = True
                 p = self.around[p][0]
         self.open.append((tag, own_region, excluded or out == "never", inside or begins, part))
+        self.names[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.tags += 1
@@ -160,13 +184,28 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag == "a":
             self.link = 0
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == tag:
-                self._close(i)
-                break
-        else:
-            if tag in BLOCKS:
-                self.flush()
+        if self.names[tag] > 0:
+            i = len(self.open) - 1
+            while self.open[i][0] != tag:
+                i -= 1
+            self._close(i)
+        elif tag in BLOCKS:
+            self.flush()
+
+    def parse_marked_section(self, i, report=1):
+        """`<![..` is a comment up to the next `>` in HTML, whatever its keyword."""
+        return self.rawdata.find(">", i + 3) + 1 or -1
+
+    def read(self, html: str) -> None:
+        """All events of a page; markup that its end cuts off is dropped."""
+        try:
+            self.feed(html)
+            if CUT_OFF.match(self.rawdata):
+                self.rawdata = ""
+            self.close()
+        except (AssertionError, ValueError):
+            pass  # the parser gives up here: what came before counts
+        self.flush()
 
     def handle_data(self, data):
         if self.open[-1][2]:
@@ -176,16 +215,15 @@ class _Lines(HTMLParser):
         self.parts.append(data)
 
 
-def _kept(parser: _Lines) -> list[tuple[str, int, int, int]]:
-    """The lines (text, characters outside links, tags, region) under no excluded part; a line takes on the tags
-    of the excluded ones before it."""
+def _kept(parser: _Lines) -> list[tuple[str, int, int, int, bool]]:
+    """The lines (text, characters outside links, tags, region, inside an article) under no excluded part; a line takes
+    on the tags of the excluded ones before it."""
     around, lines = parser.around, parser.lines
     plain = [0] * len(around)
     for line in lines:
-        p = line[4]
-        while p:
-            plain[p] += line[1]
-            p = around[p][0]
+        plain[line[4]] += line[1]
+    for i in range(len(around) - 1, 0, -1):  # parts come after those around them
+        plain[around[i][0]] += plain[i]
     total = sum(line[1] for line in lines)
 
     def excluded(most: bool) -> list[bool]:
@@ -199,10 +237,10 @@ def _kept(parser: _Lines) -> list[tuple[str, int, int, int]]:
     if not any(inside and not out[part] and n for _, n, _, _, part, inside in lines):
         out = excluded(True)
     kept, tags = [], 0
-    for text, n, t, region, part, _ in lines:
+    for text, n, t, region, part, inside in lines:
         tags += t
         if not out[part]:
-            kept.append((text, n, tags, region))
+            kept.append((text, n, tags, region, inside))
             tags = 0
     return kept
 
@@ -218,17 +256,18 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     parser = _Lines()
-    parser.feed(html)
-    parser.close()
-    parser.flush()
+    parser.read(html)
     lines = _kept(parser)
     if not lines:
         return ""
-    ratios = np.array([plain / max(1, tags) for _, plain, tags, _ in lines])
+    ratios = np.array([plain / max(1, tags) for _, plain, tags, _, _ in lines])
     smooth = _smoothed(ratios)
     limit = min(float(smooth.std()), float(smooth.max()) / 2)
     named = {line[3] for line, s, r in zip(lines, smooth, ratios) if r > 0 and s >= limit}
-    return " ".join([text for text, _, _, region in lines if region in named])
+    # where articles hold most of the text, what stands beside them is none
+    in_articles = sum(n for _, n, _, _, inside in lines if inside)
+    alone = 2 * in_articles >= sum(n for _, n, _, _, _ in lines) > 0
+    return " ".join([text for text, _, _, region, inside in lines if region in named and (inside or not alone)])
 
 
 def extract(pages: DataFrame, html_col: str = "html", drop_html: bool = True) -> DataFrame:

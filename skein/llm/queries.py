@@ -89,7 +89,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op8_decontamination"] = r"""with iw as (select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where text is not null and item_id is not null),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where text is not null),
 win as (select distinct item_id, w[i:i + 9] as p from (
   select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from iw where len(w) > 0)),
 dw as (select row_number() over () as rid, doc_id, regexp_extract_all(
@@ -99,7 +99,7 @@ pos as (select rid, l, i, w[i:i + l - 1] as p from (
   select rid, w, l, unnest(range(1, len(w) - l + 2)) as i from dw, (select distinct len(p) as l from win))),
 hit as (select pos.rid, pos.i, pos.l, win.item_id from pos join win on pos.p = win.p),
 cov as (select rid, count(distinct x) as n from (select rid, unnest(range(i, i + l)) as x from hit) group by rid),
-its as (select rid, count(*) as n, string_agg(item_id, ',' order by item_id) as s from (
+its as (select rid, count(item_id) as n, string_agg(item_id, ',' order by item_id) as s from (
   select distinct rid, cast(item_id as varchar) as item_id from hit) group by rid)
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(cov.n, 0) as n_hit, coalesce(its.n, 0) as n_items,
   sha256(coalesce(its.s, '')) as items_sha256, coalesce(cov.n, 0) > 0 as contaminated

@@ -22,7 +22,7 @@ The library encodes the words of a text independently of each other.  A plain te
 bounded size; other texts are given to the library whole.
 
 Defined cases: a null or empty text has the end id only; repeated ids are ordered by
-their text; documents without an id come first; an empty table gives no shard.
+their texts' hash, then text, over all shards; documents without an id come first; an empty table gives no shard.
 """
 
 from __future__ import annotations
@@ -195,7 +195,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, id_col: str
     (`shard, file, doc_id, start, n_tokens`; `start`: ids of all documents before)."""
     rows = text_table(docs, id_col, text_col)
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.xxhash64("text"), "text"]  # rows of one id may span shards: one order within and between them
+    dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions(*order)
     shards = f"{folder}/shards"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

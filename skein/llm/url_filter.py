@@ -11,8 +11,8 @@ one bit in each word, so a probe reads one row of the filter.  Keys that pass
 meet the list in an exact hash join, which removes the false positives.
 
 All of it is DataFrame work.  The filter is built by `bit_or` aggregation and
-broadcast only if its checked size stays below `max_filter_bytes`; a longer list
-is joined without the filter.  Addresses are judged once per distinct (host, path).
+broadcast only if its checked size stays below `max_filter_bytes`; a larger one is
+joined by its block number with a shuffle.  Addresses are judged once per distinct (host, path).
 
 Defined cases: a null url or one without `://` has an empty host and path, no rule
 and the default verdict; repeated pages keep one row each; rules with a null host
@@ -84,10 +84,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     addresses = base.select("host", "path").distinct()
     keys = candidate_keys(addresses, lengths)
     n_blocks = max(1, -(-n * bits_per_key // (64 * WORDS)))
+    probe = keys.withColumn("_key", _key("_host", "_path")).withColumn("_block", F.pmod(F.col("_key"), F.lit(n_blocks)))
+    blocks = bloom_blocks(rules, n_blocks)
     if n_blocks * 8 * (WORDS + 1) <= max_filter_bytes:
-        probe = keys.withColumn("_key", _key("_host", "_path")).withColumn("_block", F.pmod(F.col("_key"), F.lit(n_blocks)))
-        test = reduce(lambda a, b: a & b, (F.col(f"_w{i}").bitwiseAND(_mask(i)) != 0 for i in range(WORDS)))
-        keys = probe.join(F.broadcast(bloom_blocks(rules, n_blocks)), "_block").filter(test)
+        blocks = F.broadcast(blocks)
+    test = reduce(lambda a, b: a & b, (F.col(f"_w{i}").bitwiseAND(_mask(i)) != 0 for i in range(WORDS)))
+    keys = probe.join(blocks, "_block").filter(test)
     hits = keys.select("host", "path", "_host", "_path").join(
         rules, (F.col("_host") == F.col("rule_host")) & (F.col("_path") == F.col("rule_path")))
     rule = F.concat("rule_host", "rule_path")

@@ -120,6 +120,22 @@ def test_empty_table_has_no_shards(spark, tmp_path):
     assert token_files.round_trip(empty_docs(spark), PATH, f"file://{tmp_path}/t").count() == 0
 
 
+def test_rows_of_one_id_have_one_order_over_all_shards(spark, tmp_path):
+    """By hash of the text, then text: `start` does not depend on where the shards are cut."""
+    docs = spark.createDataFrame([(5, f"text {i} " + "word " * (i % 9)) for i in range(400)], "doc_id long, text string")
+    starts = []
+    for shards in (1, 6):
+        spark.conf.set("spark.sql.shuffle.partitions", str(shards))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            rows = token_files.round_trip(docs, PATH, f"file://{tmp_path}/{shards}").collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        starts.append(sorted((r["start"], r["n_tokens"], r["ids_crc32"]) for r in rows))
+    assert starts[0] == starts[1] and starts[0][0][0] == 0
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_queries_over_whole_tables(spark, library, sf):
     import hashlib
