@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, cut_lineage_counting
+from ..session import cut_lineage, cut_lineage_counting, scratch_path, stored
 
 MAX_ROUNDS = 64
 NEXT_MSG = "<<NEXTMSG>>"
@@ -318,20 +318,22 @@ CLOSURE_COLS = ["chat_id", "message_id", "sender_id", "text", "reply_to_message_
                 "forward_from_chat_id", "forward_from_message_id"]
 
 
-def ancestor_closure(seed: DataFrame, messages: DataFrame, replies: bool = True, forwards: bool = False,
-                     distinct: bool = False) -> DataFrame:
-    """Seed rows plus their reply parents and/or forward sources, repeatedly.
+#: Hash folders of the staged links, and steps after which links are squared instead.
+LINK_FOLDERS = 64
+DEEP = 16
+_PAIR, _KEY = ["chat_id", "message_id", "to_chat", "to_id"], ["chat_id", "message_id"]
 
-    `distinct=False` keeps duplicates like UNION ALL (a message reachable from k seeds, or in k
-    ways, appears k times); `distinct=True` returns each reachable message once and is safe on
-    cyclic links (with duplicates a cycle has no end: an error).  `seed`: rows of `messages`.
 
-    With A the links, everything reachable is (1 + A) (1 + A^2) (1 + A^4) ...: the powers are
-    squared until none is left and the seed is multiplied through them, the longest first, so a
-    closure of depth D takes 2 log2(D) rounds.  Numbers of ways are counted, not rows repeated.
-    """
-    cols = [c for c in CLOSURE_COLS if c in messages.columns]
-    ways = F.lit(1).cast("long")
+def _folder(chat: str, message: str):
+    return F.pmod(F.xxhash64(chat, message), F.lit(LINK_FOLDERS)).cast("int")
+
+
+def _folders(frontier: DataFrame) -> list[int]:
+    return [r["f"] for r in frontier.select(_folder("chat_id", "message_id").alias("f")).distinct().collect()]  # at most LINK_FOLDERS
+
+
+def _links(messages: DataFrame, replies: bool, forwards: bool) -> DataFrame | None:
+    """Distinct links to messages that exist."""
     links = []
     if replies:
         links.append(messages.select("chat_id", "message_id", F.col("chat_id").alias("to_chat"),
@@ -339,33 +341,86 @@ def ancestor_closure(seed: DataFrame, messages: DataFrame, replies: bool = True,
     if forwards:
         links.append(messages.select("chat_id", "message_id", F.col("forward_from_chat_id").alias("to_chat"),
                                      F.col("forward_from_message_id").alias("to_id")))
-    total = F.lit(1).cast("long") if distinct else None
-
-    def count(df: DataFrame, keys: list[str], n) -> DataFrame:
-        return df.groupBy(*keys).agg((F.max(total) if distinct else F.sum(n)).alias("n"))
-
-    pair, key = ["chat_id", "message_id", "to_chat", "to_id"], ["chat_id", "message_id"]
-    reached = count(seed.select(*key), key, ways)
-    if links:
-        # a source reached by both links counts once, as with an OR join
-        edges = (links[0] if len(links) == 1 else links[0].unionByName(links[1])).filter("to_chat is not null and to_id is not null").distinct()
-        there = messages.select(F.col("chat_id").alias("to_chat"), F.col("message_id").alias("to_id"))
-        power, left = cut_lineage_counting(
-            edges.join(there, ["to_chat", "to_id"], "left_semi").select(*pair, ways.alias("n")), F.lit(True))
-        n_links, powers = left, []
-        while left and 2 ** len(powers) <= n_links:
-            powers.append(power)
-            on = power.select(F.col("chat_id").alias("to_chat"), F.col("message_id").alias("to_id"), F.col("to_chat").alias("_chat"),
-                              F.col("to_id").alias("_id"), F.col("n").alias("_n"))
-            two = power.join(on, ["to_chat", "to_id"]).select(*key, F.col("_chat").alias("to_chat"), F.col("_id").alias("to_id"), "n", "_n")
-            power, left = cut_lineage_counting(count(two, pair, F.col("n") * F.col("_n")), F.lit(True))
-        if left and not distinct:
-            raise RuntimeError("the links run in a circle: a closure with duplicates has no end")
-        for power in reversed(powers):
-            step = power.withColumnRenamed("n", "_n").join(reached, key).select(
-                F.col("to_chat").alias("chat_id"), F.col("to_id").alias("message_id"), (F.col("n") * F.col("_n")).alias("n"))
-            reached = cut_lineage(count(reached.unionByName(step), key, F.col("n")))
-    rows = reached.join(messages.select(*cols), key)
+    if not links:
+        return None
+    # a source reached by both links counts once, as with an OR join
+    edges = (links[0] if len(links) == 1 else links[0].unionByName(links[1])).filter("to_chat is not null and to_id is not null").distinct()
+    there = messages.select(F.col("chat_id").alias("to_chat"), F.col("message_id").alias("to_id"))
+    return edges.join(there, ["to_chat", "to_id"], "left_semi").select(*_PAIR)
+
+
+def _ways(df: DataFrame, keys: list[str], n, distinct: bool) -> DataFrame:
+    return df.groupBy(*keys).agg((F.max(F.lit(1).cast("long")) if distinct else F.sum(n)).alias("n"))
+
+
+def _by_powers(reached: DataFrame, links: DataFrame, distinct: bool) -> DataFrame:
+    """(1 + A)(1 + A^2)(1 + A^4).. times `reached`: the powers of the links are squared until none is left and the
+    seed is multiplied through them, the longest first: 2 log2(depth) rounds over all links."""
+    power, left = cut_lineage_counting(links.select(*_PAIR, F.lit(1).cast("long").alias("n")), F.lit(True))
+    n_links, powers = left, []
+    while left and 2 ** len(powers) <= n_links:
+        powers.append(power)
+        on = power.select(F.col("chat_id").alias("to_chat"), F.col("message_id").alias("to_id"), F.col("to_chat").alias("_chat"),
+                          F.col("to_id").alias("_id"), F.col("n").alias("_n"))
+        two = power.join(on, ["to_chat", "to_id"]).select(*_KEY, F.col("_chat").alias("to_chat"), F.col("_id").alias("to_id"), "n", "_n")
+        power, left = cut_lineage_counting(_ways(two, _PAIR, F.col("n") * F.col("_n"), distinct), F.lit(True))
+    if left and not distinct:
+        raise RuntimeError("the links run in a circle: a closure with duplicates has no end")
+    for power in reversed(powers):
+        step = power.withColumnRenamed("n", "_n").join(reached, _KEY).select(
+            F.col("to_chat").alias("chat_id"), F.col("to_id").alias("message_id"), (F.col("n") * F.col("_n")).alias("n"))
+        reached = cut_lineage(_ways(reached.unionByName(step), _KEY, F.col("n"), distinct))
+    return reached
+
+
+def _by_steps(seed: DataFrame, edges: DataFrame, distinct: bool, deep: int) -> DataFrame:
+    """Semi-naive: a step follows just what the last one reached for the first time (with duplicates: reached at
+    all), through the hash folders of links that hold it; circles end since nothing in them is new.  A frontier that
+    spreads over most folders, or is still there after `deep` steps, is left to `_by_powers`."""
+    spark = seed.sparkSession
+    frontier = seen = stored(seed)
+    path, schema = None, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in edges.schema.fields) + ", folder int"
+    for step in range(deep + 1):
+        folders = _folders(frontier)
+        if not folders:
+            return _ways(seen, _KEY, F.col("n"), distinct)
+        if 2 * len(folders) > LINK_FOLDERS or step == deep:
+            break
+        if path is None:
+            path = scratch_path(spark, "links")
+            (edges.withColumn("folder", _folder("chat_id", "message_id")).repartition(LINK_FOLDERS, "folder")
+             .write.partitionBy("folder").parquet(path))
+        links = spark.read.schema(schema).parquet(path).filter(F.col("folder").isin(folders))
+        met = _ways(links.join(frontier, _KEY).select(F.col("to_chat").alias("chat_id"), F.col("to_id").alias("message_id"), "n"),
+                    _KEY, F.col("n"), distinct)
+        frontier = stored(met.join(seen.select(*_KEY), _KEY, "left_anti") if distinct else met)
+        seen = seen.unionByName(frontier)
+    rest = _by_powers(frontier, spark.read.schema(schema).parquet(path).select(*_PAIR) if path else edges, distinct)
+    if path is None:
+        return rest
+    if not distinct:
+        seen = seen.unionByName(frontier.withColumn("n", -F.col("n")))  # the frontier is counted by both
+    return _ways(seen.unionByName(rest), _KEY, F.col("n"), distinct)
+
+
+def ancestor_closure(seed: DataFrame, messages: DataFrame, replies: bool = True, forwards: bool = False,
+                     distinct: bool = False, deep: int = DEEP) -> DataFrame:
+    """Seed rows plus their reply parents and/or forward sources, repeatedly.
+
+    `distinct=False` keeps duplicates like UNION ALL (a message reachable from k seeds, or in k
+    ways, appears k times); `distinct=True` returns each reachable message once and is safe on
+    cyclic links (with duplicates a cycle has no end: an error).  `seed`: rows of `messages`.
+
+    From a narrow seed each step follows only what the last one reached, through links staged in hash folders.  A
+    wide frontier, and chains of more than `deep` links, are finished in a logarithmic number of rounds by squaring
+    the links.  Numbers of ways are counted, not rows repeated.
+    """
+    cols = [c for c in CLOSURE_COLS if c in messages.columns]
+    reached = _ways(seed.select(*_KEY), _KEY, F.lit(1).cast("long"), distinct)
+    edges = _links(messages, replies, forwards)
+    if edges is not None:
+        reached = _by_steps(reached, edges, distinct, deep)
+    rows = reached.join(messages.select(*cols), _KEY)
     if not distinct:
         rows = rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int"))))
     return rows.select(*cols)

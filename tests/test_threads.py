@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from skein.operators import threads
@@ -176,3 +177,40 @@ def test_closure_with_duplicates_refuses_a_circle(spark):
     m = _linked(spark, [(1, 1, 2, None, None), (1, 2, 1, None, None)])
     with pytest.raises(RuntimeError):
         threads.ancestor_closure(m, m)
+
+
+@pytest.mark.parametrize("deep", [0, 2, 16])
+def test_closure_from_the_seed_equals_plain_walks(spark, deep):
+    """Two parents a message, several ways, at every limit between steps and squaring."""
+    import random
+    r = random.Random(7)
+    parents = {i: sorted({r.randrange(i) for _ in range(r.randint(0, 2))}) if i else [] for i in range(60)}
+    rows = [(1, i, p[0] if p else None, 1 if len(p) > 1 else None, p[1] if len(p) > 1 else None, f"t{i}", 5) for i, p in parents.items()]
+    rows += [(2, i, i - 1 if i else None, None, None, "other chat", 6) for i in range(30)]
+    m = spark.createDataFrame(rows, "chat_id long, message_id long, reply_to_message_id long, forward_from_chat_id long, "
+                                    "forward_from_message_id long, text string, sender_id long")
+    seed = m.filter("chat_id = 1 and message_id in (59, 58, 40)")
+    counts, todo = {}, [59, 58, 40]
+    while todo:
+        x = todo.pop()
+        counts[x] = counts.get(x, 0) + 1
+        todo += parents[x]
+    got = threads.ancestor_closure(seed, m, forwards=True, deep=deep).groupBy("chat_id", "message_id").count().collect()
+    assert {x.message_id: x["count"] for x in got} == counts and {x.chat_id for x in got} == {1}
+    once = threads.ancestor_closure(seed, m, forwards=True, distinct=True, deep=deep).collect()
+    assert sorted(x.message_id for x in once) == sorted(counts)
+
+
+def test_closure_reads_the_folders_it_needs(spark, monkeypatch):
+    """A seed without parents reads no links, a short chain a few folders."""
+    rows = [(1, i, i - 1 if i else None, "t", 5) for i in range(3)] + [(2, i, i - 1, "t", 5) for i in range(1, 400)]
+    m = spark.createDataFrame(rows, "chat_id long, message_id long, reply_to_message_id long, text string, sender_id long")
+    read = []
+    real = threads._ways
+    monkeypatch.setattr(threads, "_ways", lambda df, *a: read.append(df) or real(df, *a))
+    out = threads.ancestor_closure(m.filter("chat_id = 1 and message_id = 2"), m)
+    assert sorted(r.message_id for r in out.collect()) == [0, 1, 2]
+    import re
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in read]
+    filters = [f for p in plans for f in re.findall(r"PartitionFilters: \[([^\]]*folder[^\]]*)\]", p)]
+    assert len(filters) == 3 and all(re.search(r"folder#\d+ = \d+\)", f) for f in filters)  # one folder a step
