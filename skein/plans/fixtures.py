@@ -97,7 +97,7 @@ class Fixture:
         return ids.select(
             "chat_id",
             F.concat(title_prefix, F.lit(" "), cid.cast("string")).alias("title"),
-            F.when(cid % 2 == 0, cid + 100).alias("linked_chat_id"),
+            F.when((cid % 2 == 0) | (cid % 4 == 1), cid + 100).alias("linked_chat_id"),
             F.when(cid % 5 > 0, cid + 50).alias("top_message_id"),
         )
 
@@ -304,7 +304,7 @@ SQL_VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
   case when c_custkey % 3 = 0 then concat('+', cast(c_custkey as varchar)) end phone_number from customer"""),
     "chats": (("messages",), """select distinct chat_id, concat(case chat_id % 4 when 1 then 'שלום' when 2 then 'سلام'
     when 3 then 'news' else '' end, ' ', cast(chat_id as varchar)) title,
-  case when chat_id % 2 = 0 then chat_id + 100 end linked_chat_id,
+  case when chat_id % 2 = 0 or chat_id % 4 = 1 then chat_id + 100 end linked_chat_id,
   case when chat_id % 5 > 0 then 50 + chat_id end top_message_id from messages"""),
     "stocks": ((), """select p_brand symbol, case l_linenumber when 1 then '1m' when 2 then '2m' when 3 then '5m'
     when 4 then '15m' when 5 then '30m' when 6 then '60m' else '90m' end granularity,
