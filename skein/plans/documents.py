@@ -320,3 +320,31 @@ def q_json_reaction_list(spark, sf_dir):
                            S.json_reaction_list("reactions_text").alias("l"))
     return parsed.select("message_id", "chat_id", F.transform("l", lambda s: s.getField("emoji")).alias("emojis"),
                          F.transform("l", lambda s: s.getField("count")).alias("counts"))
+
+
+_FREE_SQL = """free as (select event_id as id, k % 40 as chat, k, event_id % 97 as m, event_id % 101 as x from raw)"""
+
+
+@register("scan_free_documents", sql_with(["raw"], """
+select id, chat as chat_id, case when k % 3 > 0 then k end as b, case when k % 3 = 0 then 1 else 2 end as n_fields, 'kept' as status
+from free where m <> 0 and x <> 0
+union all select id, null, null, null, 'rejected' from free where m = 0 or x = 0""", extra=_FREE_SQL))
+def q_scan_free_documents(spark, sf_dir):
+    """Documents with fields that no schema declares, some too deep, some cut off, stored as VARIANT and read back."""
+    r = fixture(spark, sf_dir).raw.select(F.col("event_id").alias("id"), "k")
+    deep = F.when(F.col("id") % 97 == 0, 24).otherwise(23)  # lists around a number at level 3 + deep
+    inner = F.concat(F.lit('{"name":"say \\"a\\":null,","b":'), F.when(F.col("k") % 3 > 0, F.col("k").cast("string")).otherwise(F.lit("null")), F.lit("}"))
+    line = F.concat(F.lit('{"id":'), "id", F.lit(',"gone":null,"chat":{"id":'), F.col("k") % 40, F.lit(',"title":null},"extra":'), inner,
+                    F.lit(',"list":[null,{"x":null}],"deep":'), F.repeat(F.lit("["), deep), F.lit("1"), F.repeat(F.lit("]"), deep),
+                    F.when(F.col("id") % 101 == 0, F.lit("")).otherwise(F.lit("}")))
+    landing, store = scratch_path(spark, "free"), scratch_path(spark, "free-store")
+    r.select(line.alias("value")).write.text(landing)
+    docs, rejects = readers.read_free_documents(spark, landing)
+    docs.write.parquet(store)
+    stored_docs = spark.read.schema("doc variant").parquet(store)
+    extra = F.variant_get("doc", "$.extra", "map<string,variant>")
+    kept = stored_docs.select(F.variant_get("doc", "$.id", "bigint").alias("id"), F.variant_get("doc", "$.chat.id", "bigint").alias("chat_id"),
+                              F.variant_get("doc", "$.extra.b", "bigint").alias("b"), F.size(extra).alias("n_fields"), F.lit("kept").alias("status"))
+    lost = rejects.select(F.regexp_extract("line", r'^\{"id":(\d+)', 1).cast("bigint").alias("id"), F.lit(None).cast("bigint").alias("chat_id"),
+                          F.lit(None).cast("bigint").alias("b"), F.lit(None).cast("int").alias("n_fields"), F.lit("rejected").alias("status"))
+    return kept.unionByName(lost)

@@ -7,7 +7,7 @@ partition filter so that only the requested directories are listed.
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -64,6 +64,38 @@ def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return raw.filter(~bad).drop(MALFORMED), raw.filter(bad).select(line.alias("line"))
 
 
+#: Deepest level of a value in a document; the document itself is at level 1 (fixed value).
+MAX_LEVEL = 25
+# a JSON string; an object's field whose value is null, with the comma behind it, and as the last one
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_NULL_FIELD, _LAST_NULL_FIELD = _STRING + ":null,", ",?" + _STRING + r":null(?=\})"
+
+
+def level_at_most(json: Column, levels: int = MAX_LEVEL) -> Column:
+    """Whether the JSON text is one value and holds none deeper than `levels`.  Strings and empty containers count as
+    plain values; taking the innermost containers for plain values (a control character) brings a document one level up."""
+    plain = F.regexp_replace(F.regexp_replace(json, _STRING, "x"), r"\[\s*\]|\{\s*\}", "\x01")
+    flat = F.aggregate(F.sequence(F.lit(2), F.lit(levels)), plain, lambda t, _: F.regexp_replace(t, r"\[[^\[\]{}]*+\]|\{[^\[\]{}]*+\}", "\x01"))
+    return flat.rlike("^\\s*(\\x01|[^\\s\\[\\]{}\\x01]+)\\s*$")
+
+
+def without_null_fields(json: Column) -> Column:
+    """The compact JSON text without the null fields of its objects, at every level; nulls in lists stay."""
+    return F.regexp_replace(F.regexp_replace(json, _NULL_FIELD, ""), _LAST_NULL_FIELD, "")
+
+
+def read_free_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """S01 for documents of any shape: `(doc)` as VARIANT, fields that no schema declares included, and the rejected
+    lines `(line)`: those that are no JSON object or hold a value deeper than `MAX_LEVEL`.
+
+    Null fields are pruned at every level.  All of it is per-line SQL expressions; `F.variant_get` reads fields, and
+    the column can be stored in Parquet as it is."""
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.to_json(F.try_parse_json("value")).alias("_json"))
+    ok = F.coalesce(F.col("_json").startswith("{") & level_at_most(F.col("line")), F.lit(False))
+    docs = lines.filter(ok).select(F.parse_json(without_null_fields(F.col("_json"))).alias("doc"))
+    return docs, lines.filter(~ok).select("line")
+
+
 def write_raw_messages(docs: DataFrame, path: str) -> None:
     """JSON-lines documents with microsecond timestamps; refuses an existing path."""
     (docs.write.mode("errorifexists").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

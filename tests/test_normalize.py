@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from skein import schemas
 from skein.operators import normalize, tables
+from skein.sources import readers
 
 
 def _doc(**kw):
@@ -84,3 +85,42 @@ def test_doc_any_text_first(spark):
     assert sorted((r.message_id, r.text) for r in all_rows) == [(3, "t3"), (5, "c5")]
     one = normalize.doc_any_text(raw, chat_id=1, first=True).collect()
     assert [(r.message_id, r.text) for r in one] == [(3, "t3")]
+
+
+def test_free_documents_keep_unknown_fields_and_reject_deep_ones(spark, tmp_path):
+    import json
+
+    def clean(d, level=1):
+        """The plain rule: null fields go at every level, a value below level 25 is an error."""
+        if level > 25:
+            raise ValueError
+        if isinstance(d, list):
+            return [clean(x, level + 1) for x in d]
+        if isinstance(d, dict):
+            return {k: v for k, v in ((k, clean(v, level + 1)) for k, v in d.items()) if v is not None}
+        return d
+
+    def nested(n, inner, kind=list):
+        for _ in range(n):
+            inner = [inner] if kind is list else {"a": inner}
+        return inner
+
+    odd = 'a "b":null, \\ {[ é 🙂 ]} \n'
+    docs = [{"a": 1, "b": None, "c": {"d": None}, "e": {"f": {"g": None, "h": [None, {"i": None, "j": 2}]}}}, {}, {"a": None},
+            {odd: None, "k" + odd: odd, "z": {odd: None}}, {"x": odd, "y": None}, {"null": "null", "n": "x:null"},
+            *({"v": nested(n, inner, kind)} for n in (22, 23, 24, 25) for inner in (1, None, [], {}, {"q": None}) for kind in (list, dict)),
+            {"id": 10**15, "f": 1.5, "t": True, "u": "\u0000"}]
+    good, bad = [], []
+    for d in docs:
+        try:
+            good.append(json.dumps(clean(d), sort_keys=True))
+        except ValueError:
+            bad.append(json.dumps(d))
+    other = ["", "[1]", "3", "null", '{"a":1', '{"a":1}}', '{"a":1} {"b":2}', '{"a":1}x']
+    (tmp_path / "d.json").write_text("\n".join([*map(json.dumps, docs), *other]))
+    found, rejects = readers.read_free_documents(spark, str(tmp_path / "d.json"))
+    found.write.parquet(str(tmp_path / "store"))
+    back = spark.read.parquet(str(tmp_path / "store")).select(F.to_json("doc").alias("j")).collect()
+    assert sorted(json.dumps(json.loads(r.j), sort_keys=True) for r in back) == sorted(good)
+    assert sorted(r.line for r in rejects.collect()) == sorted(bad + other)
+    assert len(bad) >= 10
