@@ -36,6 +36,30 @@ def chat_counts(messages: DataFrame) -> DataFrame:
         F.count_if(has_script(t, "english")).alias("english_count"))
 
 
+def signed_counts(rows: DataFrame) -> DataFrame:
+    """A07 as a sum: per chat the number of messages and the four counts of `rows`, each row taken `sign` times."""
+    t = F.coalesce(F.col("text"), F.lit(""))
+    semitic = t.rlike(f"[{SCRIPT_RANGES['hebrew'][0]}-{SCRIPT_RANGES['arabic'][-1]}]")
+    tests = (F.length(t) > 0, semitic & has_script(t, "arabic"), semitic & has_script(t, "hebrew"), has_script(t, "english"))
+    sign = F.col("sign").cast("long")
+    return rows.groupBy("chat_id").agg(F.sum(sign).alias("messages"), *(
+        F.sum(F.when(test, sign).otherwise(0)).alias(c) for test, c in zip(tests, STAT_COLS)))
+
+
+def signed_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Change rows `(chat_id, text, sign)`: versions that go (`old`: changed and deleted messages as they were) and
+    versions that come (`new`: inserted and changed ones as they are)."""
+    side = lambda df, s: df.select("chat_id", "text", F.lit(s).alias("sign"))
+    return side(old, -1).unionByName(side(new, 1))
+
+
+def add_counts(stored: DataFrame, changes: DataFrame) -> DataFrame:
+    """Stored counts plus the signed counts of changes; chats without messages go.  With `buckets.merge_store` just
+    the buckets of changed chats are read and written; the messages themselves are not read again."""
+    both = stored.unionByName(changes)
+    return (both.groupBy("chat_id").agg(*(F.sum(c).alias(c) for c in ("messages", *STAT_COLS))).filter("messages > 0"))
+
+
 def update(chats: DataFrame, messages: DataFrame, sample: int = 10) -> DataFrame:
     """Chats with the four counts set from a sample of their messages.
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import round4
 from ..operators import language, search, threads
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
+from ..streaming import ingest
 from .fixtures import fixture, sql_with
 from .registry import register
 
@@ -200,6 +201,22 @@ def q_embed_pending_loop(spark, sf_dir):
     return once.select("chat_id", "last_message_id", F.size("embedding").alias("dim"))
 
 
+@register("embed_chain_stream", sql_with(["messages", "chats"], """
+select chat_id, leaf as last_message_id, 64 as dim from w
+where not exists (select 1 from lm p where p.chat_id = w.chat_id and p.message_id = w.parent) and chain is not null""",
+    extra=_chain_sql_prefix(), recursive=True))
+def q_embed_chain_stream(spark, sf_dir):
+    """V05 as a stream: some chains, then all (the first ones again), then a run with nothing new."""
+    f = fixture(spark, sf_dir)
+    chains = cut_lineage(threads.message_chain(f.messages, f.chats).select("chat_id", "last_message_id", "chain"))
+    landing, store, ckpt = (scratch_path(spark, n) for n in ("chains", "vectors", "ckpt"))
+    for part in (chains.filter("last_message_id % 2 = 0"), chains, None):
+        if part is not None:
+            part.write.mode("append").parquet(landing)
+        ingest.embed_stream(spark.readStream.schema(chains.schema).parquet(landing), store, ckpt, 64).awaitTermination()
+    return ingest.embedded(spark, store).select("chat_id", "last_message_id", F.size("embedding").alias("dim"))
+
+
 @register("poll_option_vectors", sql_with(["raw_docs"], """
 select distinct struct_extract(chat, 'id') as chat_id, id as message_id, struct_extract(o, 'text') as poll_option_text,
   16 as dim, cast(1.0 as double) as norm from (select *, unnest(struct_extract(poll, 'options')) as o from raw_docs

@@ -156,3 +156,48 @@ def test_a_batch_is_seen_with_all_its_tables_or_not_at_all(spark, tmp_path, monk
     assert ingest.compact(spark, root, "messages") == 1
     assert ingest.current_table(spark, root, "messages").count() == 6
     assert ingest.current_table(spark, root, "messages", [0]).count() == 3
+
+
+def test_repeats_are_kept_out_with_a_bounded_state(spark, tmp_path):
+    """Files land an hour apart: every document again each time, one of them changed.  The state holds about one
+    window of digests, however many files have come, and the result is that of upserting everything."""
+    import json
+    import os
+    landing, root = tmp_path / "in", str(tmp_path / "store")
+    landing.mkdir()
+    state, rows = [], []
+    for k in range(5):
+        docs = [{"id": i, "chat": {"id": 7}, "text": f"t{i}", "views": 100 + k if i == 3 else 1, "date": "2024-01-01T00:00:00"} for i in range(8)]
+        docs.append({"id": 100 + k, "chat": {"id": 7}, "text": "late", "date": f"20{10 + k}-01-01T00:00:00"})  # years late
+        (landing / f"f{k}.json").write_text("\n".join(map(json.dumps, docs + docs)))
+        os.utime(landing / f"f{k}.json", (1_700_000_000 + 3600 * k,) * 2)
+        stream = ingest.without_repeats(ingest.raw_stream(spark, str(landing), arrival=True), "90 minutes")
+        q = ingest.ingest(stream, root, str(tmp_path / "ckpt"))
+        q.awaitTermination()
+        state.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+        rows.append(spark.read.parquet(f"{root}/messages/batch_id={ingest.committed(spark, root)[-1]}").count() if k == 0 else None)
+    assert rows[0] == 9
+    assert max(state) <= 2 * 9 + 8 and state[-1] <= state[1] + 9  # not 9 more with every file
+    got = {r.message_id: r.views for r in ingest.current_table(spark, root, "messages").collect()}
+    assert got == {**{i: 1 for i in range(8)}, 3: 104, **{100 + k: None for k in range(5)}}
+
+
+def test_embedding_stream_follows_new_chains(spark, tmp_path):
+    cols = "chat_id long, last_message_id long, chain string"
+    landing, store = str(tmp_path / "in"), str(tmp_path / "store")
+
+    def run(rows):
+        if rows:
+            spark.createDataFrame(rows, cols).coalesce(1).write.mode("append").parquet(landing)
+        q = ingest.embed_stream(spark.readStream.schema(cols).parquet(landing), store, str(tmp_path / "ckpt"), 16)
+        q.awaitTermination()
+        return sum(p.numInputRows for p in q.recentProgress)
+
+    assert run([(1, 1, "a b"), (1, 2, None), (1, 3, "c"), (1, 3, "c")]) == 4
+    first = {(r.chat_id, r.last_message_id): r.embedding for r in ingest.embedded(spark, store).collect()}
+    assert set(first) == {(1, 1), (1, 3)}
+    files = sorted(tmp_path.rglob("store/**/*.parquet"))
+    assert run([]) == 0 and sorted(tmp_path.rglob("store/**/*.parquet")) == files  # a rerun adds nothing
+    assert run([(1, 3, "changed text"), (2, 1, "new")]) == 2  # work follows the new chains
+    now = {(r.chat_id, r.last_message_id): r.embedding for r in ingest.embedded(spark, store).collect()}
+    assert set(now) == {(1, 1), (1, 3), (2, 1)} and all(now[k] == first[k] for k in first)

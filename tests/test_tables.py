@@ -78,3 +78,32 @@ def test_dedupe_first_by_key_sort_specs(spark):
     assert nulls_first[1] == (None, 5.0)
     desc_b = {r.k: (r.a, r.b) for r in tables.dedupe_first_by_key(df, ["k"], [("b", True, False)]).collect()}
     assert desc_b[1] == (3.0, 9.0)
+
+
+def test_counts_kept_by_signed_changes_equal_the_full_count(spark, tmp_path):
+    import random
+    from skein.operators import language
+    from skein.sources import buckets
+    r = random.Random(3)
+    text = lambda: r.choice([None, "", "abc", "שלום", "سلام", "שלום abc سلام", "12"])
+    table = {i: (r.randrange(6), text()) for i in range(200)}
+    cols, schema = "chat_id long, text string", "chat_id long, messages long, " + ", ".join(f"{c} long" for c in language.STAT_COLS)
+    frame = lambda rows: spark.createDataFrame(list(rows), cols)
+    root = str(tmp_path)
+    buckets.create_store(language.signed_counts(frame(table.values()).withColumn("sign", F.lit(1))), root, ["chat_id"], 4)
+    for step in range(2):
+        old, new = [], []
+        for i in r.sample(sorted(table), 60) + [k for k, v in table.items() if step and v[0] == 2]:
+            if i in table:
+                old.append(table.pop(i))
+                if r.random() < 0.5 and not (step and old[-1][0] == 2):
+                    table[i] = (old[-1][0], text())
+                    new.append(table[i])
+        for i in range(1000 * (step + 1), 1000 * (step + 1) + 20):
+            table[i] = (r.choice([0, 7, 8]), text())
+            new.append(table[i])
+        changes = language.signed_counts(language.signed_changes(frame(old), frame(new)))
+        buckets.merge_store(changes, root, schema, ["chat_id"], 4, language.add_counts)
+        want = sorted(map(tuple, language.chat_counts(frame(table.values())).collect()))
+        assert sorted(map(tuple, buckets.read_store(spark, root, schema).drop("messages").collect())) == want
+    assert 2 not in [w[0] for w in want]  # a chat whose messages are all gone
