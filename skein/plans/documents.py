@@ -326,7 +326,7 @@ _FREE_SQL = """free as (select event_id as id, k % 40 as chat, k, event_id % 97
 
 
 @register("scan_free_documents", sql_with(["raw"], """
-select id, chat as chat_id, case when k % 3 > 0 then k end as b, case when k % 3 = 0 then 1 else 2 end as n_fields, 'kept' as status
+select id, cast(chat as bigint) as chat_id, cast(case when k % 3 > 0 then k end as bigint) as b, case when k % 3 = 0 then 1 else 2 end as n_fields, 'kept' as status
 from free where m <> 0 and x <> 0
 union all select id, null, null, null, 'rejected' from free where m = 0 or x = 0""", extra=_FREE_SQL))
 def q_scan_free_documents(spark, sf_dir):

@@ -25,8 +25,12 @@ def con():
     return c
 
 
+#: Hierarchical clusters have no SQL form: `test_density.py` holds them against a plain version.
+NO_SQL = {"density_clusters", "per_chat_density"}
+
+
 def test_every_key_has_an_oracle():
-    assert set(KEYS) == set(ORACLE)
+    assert set(KEYS) - NO_SQL == set(ORACLE)
 
 
 @pytest.mark.parametrize("key", KEYS)
