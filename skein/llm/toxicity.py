@@ -2,8 +2,10 @@
 
 Kernel.  Two words are compared by their common letter subsequences of length 3,
 each weighted by `DECAY` to the power of the span it takes, gaps included; so an
-insult with inserted characters (`id.i-ot`) stays close to the plain one.  The kernel
-is normalised and raised to `POWER` (again a kernel), which parts words that merely
+insult with inserted characters (`id.i-ot`) stays close to the plain one.  Each word's
+vector of subsequences is divided by its length to the power `NORM`: below 1, so that letters a
+spelling adds (`idxiot`, `stuupid`), which make its vector longer, take less from its closeness to the plain
+word.  The kernel is raised to `POWER` (again a kernel), which parts words that merely
 share common letter groups.  Letters are folded (case, accents, digits and signs that stand for
 letters); other characters only make gaps.  A run of single letters between blanks
 also counts as one word.
@@ -17,14 +19,15 @@ document is represented by its highest sentence and those on the toxic side
 document's decision is the highest of its sentences', turned into a probability by
 a logistic fit on the training documents.
 
-Fitting uses a bounded sample of the labelled training rows (`TRAIN_DOCS`, in hash
-order of the id, so it does not depend on how the data are partitioned).  Scoring
+Fitting uses a bounded sample of the labelled training rows (`TRAIN_DOCS` documents and `TRAIN_BYTES`
+of text, in hash order of the id, so it does not depend on how the data are partitioned).  Scoring
 needs the landmarks and one weight for each, whatever the corpus: one narrow pass
 over all whole texts, in which each distinct word meets the landmarks once per task.  Only text and training labels are inputs.
 
 Defined cases: an empty or null text has the score of a text without words; without
 both labels in training every text gets the training share of toxic rows (Laplace
-smoothed); repeated label rows of a document count once, toxic if any is; labels that
+smoothed); repeated label rows of a document count once, toxic if any is; of repeated
+rows of a document the smallest text is fitted on; labels that
 are null or of unknown documents are left out; documents without an id are not held out.
 """
 
@@ -46,9 +49,12 @@ from .common import Memo, in_training, map_texts
 MODULUS = 5
 #: Largest number of labelled documents the classifier is fitted on.
 TRAIN_DOCS = 2000
+#: Largest size of their texts; documents beyond it, in hash order, are left out.
+TRAIN_BYTES = 100_000_000
 LANDMARKS = 32
 ORDINARY = 32
-DECAY = 0.85
+DECAY = 0.95
+NORM = 0.8
 POWER = 4
 ROUNDS = 3
 PENALTY = 0.03
@@ -109,7 +115,7 @@ def _smooth(a: np.ndarray, axis: int) -> np.ndarray:
 
 
 def norms(codes: np.ndarray) -> np.ndarray:
-    """Square root of each word's kernel with itself."""
+    """What each word's vector is divided by: its length to the power `NORM`."""
     c = codes.T[:, None, :]
     match = ((c == codes.T[None, :, :]) & (c < _LETTERS - 1)).astype(np.float64)
     tail = DECAY * DECAY * match
@@ -117,12 +123,12 @@ def norms(codes: np.ndarray) -> np.ndarray:
         grown = _smooth(_smooth(tail, 0), 1)
         tail = np.zeros_like(match)
         tail[1:, 1:] = DECAY * DECAY * match[1:, 1:] * grown[:-1, :-1]
-    return np.sqrt(tail.sum(axis=(0, 1)))
+    return tail.sum(axis=(0, 1)) ** (NORM / 2)
 
 
 class Landmarks:
     """Letter triples of the landmark words: row `place[triple]` of `rows` holds the triple's value in
-    each landmark's normalised feature vector (row 0: triples of none)."""
+    each landmark's scaled feature vector (row 0: triples of none)."""
 
     def __init__(self, words: Sequence[str]):
         features = np.column_stack([triples(w) for w in words])
@@ -147,7 +153,7 @@ class Landmarks:
         return out
 
     def against(self, words: Sequence[str]) -> np.ndarray:
-        """Kernel of every word with every landmark: normalised, raised to `POWER`."""
+        """Kernel of every word with every landmark: scaled by `NORM`, raised to `POWER`."""
         out = np.zeros((len(words), self.rows.shape[1]), np.float32)
         for n, places in by_length(words).items():
             if n < 3:
@@ -168,7 +174,7 @@ class Landmarks:
 
 
 def triples(word: str) -> np.ndarray:
-    """The normalised feature vector of one word, in time proportional to its length."""
+    """The scaled feature vector of one word, in time proportional to its length."""
     one, two = np.zeros(_LETTERS), np.zeros((_LETTERS, _LETTERS))
     three = np.zeros((_LETTERS, _LETTERS, _LETTERS))
     for c in letters([word])[0]:
@@ -178,7 +184,7 @@ def triples(word: str) -> np.ndarray:
         one *= DECAY
         one[c] += DECAY
     three[-1], three[:, -1], three[:, :, -1] = 0, 0, 0
-    size = math.sqrt(float((three * three).sum()))
+    size = float((three * three).sum()) ** (NORM / 2)
     return (three / size if size else three).reshape(-1)
 
 
@@ -358,14 +364,23 @@ class Scorer:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-                    modulus: int = MODULUS, bound: int = TRAIN_DOCS) -> list[tuple[str | None, int]]:
-    """At most `bound` labelled training documents, in hash order of the id."""
+                    modulus: int = MODULUS, bound: int = TRAIN_DOCS, byte_bound: int = TRAIN_BYTES) -> list[tuple[str | None, int]]:
+    """At most `bound` labelled training documents of together at most `byte_bound` bytes, in hash order of the id,
+    one row per document."""
+    order = [F.xxhash64(F.col("_id").cast("string")), F.col("_id")]
     known = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & in_training(id_col, modulus))
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_label"))
-             .orderBy(F.xxhash64(F.col("_id").cast("string")), "_id").limit(bound))
+             .join(docs.select(F.col(id_col).alias("_id")).distinct(), "_id", "left_semi").orderBy(*order).limit(bound))
     # `bound` rows of two numbers: small by construction
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(known), "_id")
-    return [(r["_text"], r["_label"]) for r in sorted(rows.collect(), key=lambda r: (r["_id"], r["_text"] or ""))]
+    texts = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(known), "_id")
+             .groupBy("_id", "_label").agg(F.min("_text").alias("_text")))
+    chosen, total = [], 0
+    for r in texts.select("_id", F.coalesce(F.octet_length("_text"), F.lit(0)).alias("n")).orderBy(*order).collect():
+        total += r["n"]
+        if total <= byte_bound:
+            chosen.append(r["_id"])
+    rows = texts.filter(F.col("_id").isin(chosen)).collect() if chosen else []
+    return [(r["_text"], r["_label"]) for r in sorted(rows, key=lambda r: r["_id"])]
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", drop_text: bool = True) -> DataFrame:

@@ -134,7 +134,7 @@ def plain_kernel(u, v):
         return out
     a, b = features(u), features(v)
     dot = lambda x, y: sum(w * y.get(k, 0) for k, w in x.items())
-    size = math.sqrt(dot(a, a) * dot(b, b))
+    size = (dot(a, a) * dot(b, b)) ** (toxicity.NORM / 2)
     return (dot(a, b) / size) ** toxicity.POWER if size else 0.0
 
 
@@ -144,7 +144,7 @@ def test_kernel_equals_its_definition():
     got = toxicity.Landmarks(marks).against(some)
     for i, u in enumerate(some):
         for j, v in enumerate(marks):
-            assert got[i, j] == pytest.approx(plain_kernel(u, v), abs=1e-5), (u, v)
+            assert got[i, j] == pytest.approx(plain_kernel(u, v), rel=1e-4, abs=1e-5), (u, v)
 
 
 @pytest.fixture(scope="module")
@@ -188,6 +188,43 @@ def test_toxicity_edge_rows(spark, labelled):
     assert toxicity.score(empty_docs(spark), toxicity.fit(rows)).count() == 0
 
 
+def test_training_sample_is_bounded_in_rows_and_bytes(spark):
+    docs = spark.createDataFrame([(i, "word " * (i % 7)) for i in range(60)] + [(3, "a")] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")  # most have no document
+    rows = toxicity.training_sample(docs, labels)
+    assert len(rows) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(60))
+    assert len(toxicity.training_sample(docs, labels, bound=20)) == 20
+    assert 0 < sum(len(t) for t, _ in toxicity.training_sample(docs, labels, byte_bound=200)) <= 200
+
+
+def test_inserted_and_doubled_letters_are_found_on_given_documents():
+    """Fitted on the training rows of sf0.1, one insult planted in each of 150 clean held-out documents."""
+    import duckdb
+    sf = "/root/testdata/sf0.1"
+    rows = duckdb.sql(f"select d.doc_id, d.text, l.toxic from '{sf}/documents.parquet' d join '{sf}/labels.parquet' l using (doc_id) "
+                      "where l.toxic is not null and d.text is not null order by doc_id").fetchall()
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    scorer = toxicity.Scorer(toxicity.fit([(t, y) for i, t, y in rows if not held(i)][:toxicity.TRAIN_DOCS]))
+    test = [(t, y) for i, t, y in rows if held(i)]
+    found = scorer.texts([t for t, _ in test]) >= 0.5
+    label = np.array([y for _, y in test])
+    assert label[found].mean() > 0.85 and found[label == 0].mean() < 0.02
+    clean = [t for (t, y), f in zip(test, found) if not y and not f and len(t) < 20_000][:150]
+    share = {}
+    for kind in ("plain", "gaps", "doubled", "inserted"):
+        planted = []
+        for k, t in enumerate(clean):
+            r, words = random.Random(k), t.split(" ")
+            w = ["idiot", "loser", "worthless", "trash", "moron", "pathetic", "scum", "disgusting", "clown", "stupid"][k % 10]
+            i = r.randrange(1, len(w) - 1)
+            w = {"plain": w, "gaps": ".".join(w), "doubled": w[:i] + w[i] + w[i:],
+                 "inserted": w[:i] + r.choice("abcdefghklmnoprstuvwxyz") + w[i:]}[kind]
+            words.insert(r.randrange(len(words) + 1), w)
+            planted.append(" ".join(words))
+        share[kind] = (scorer.texts(planted) >= 0.5).mean()
+    assert share["plain"] > 0.9 and share["gaps"] > 0.9 and share["doubled"] > 0.9 and share["inserted"] > 0.6, share
+
+
 def test_without_both_labels_the_share_is_returned(spark):
     model = toxicity.fit([("a b c", 0), ("idiot", 0)])
     assert toxicity.Scorer(model).texts(["idiot", None]) == pytest.approx([0.25, 0.25])
