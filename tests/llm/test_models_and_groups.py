@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skein.llm import simhash, suffix_tree, toxicity
@@ -110,6 +111,19 @@ def test_counts_do_not_rise_with_the_corpus():
     assert (s.min_symbol, s.min_context) == (suffix_tree.MIN_SYMBOL, suffix_tree.MIN_CONTEXT)
 
 
+def test_suffix_tree_holds_words_once():
+    """What a word alone decides is held per word, and places take 4 bytes (memory of a task)."""
+    rows = [(i, "a b c a b a " * 30, True) for i in range(4)]
+    block = suffix_tree.Block.of(rows, pa.int64())
+    counts = np.bincount(block.codes, minlength=len(block.hashes))[np.argsort(block.hashes)]
+    walk = suffix_tree.Walk(block, {0: (counts, None)}, suffix_tree.Totals(int(counts.sum()), 4, 0, 0), suffix_tree.Settings())
+    assert len(walk.count) == len(walk.base) == len(walk.share) == len(walk.symbol) == len(walk.rare) == 4
+    for values in (np.random.default_rng(1).integers(0, 50, 500).astype(np.uint64), np.empty(0, np.uint64)):
+        distinct, place = suffix_tree.distinct_places(values)
+        want = np.unique(values, return_inverse=True)
+        assert (distinct == want[0]).all() and (place == want[1]).all() and place.dtype == np.int32
+
+
 def test_suffix_tree_edge_rows(spark):
     got = suffix_tree.score(edge_docs(spark, [*EDGE, (None, "no id here")])).collect()
     assert len(got) == len(EDGE) + 1 and all(math.isfinite(g["score"]) for g in got)
