@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import file_system as _file_system
 from . import bpe
 from .common import Memo, scratch, text_chunks, text_table
 
@@ -51,16 +52,6 @@ CACHE_WORDS = 250_000
 INDEX = "shard int, file string, doc_id {id_type}, local_start long, n_tokens long"
 
 
-def _file_system(uri: str):
-    """Arrow file system and path of a folder URI."""
-    from pyarrow import fs
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[5:]
-    if "://" not in uri:
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri)
-
-
 class LibraryEncoder:
     """The tokenizers library behind a cache of encoded words (as packed ids)."""
 
