@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -11,6 +12,7 @@ import pyarrow as pa
 import pytest
 
 from skein.llm import simhash, suffix_tree, toxicity
+from skein.llm.common import scratch
 
 from .edge import EDGE, edge_docs, empty_docs, words
 
@@ -124,6 +126,68 @@ def test_suffix_tree_holds_words_once():
         assert (distinct == want[0]).all() and (place == want[1]).all() and place.dtype == np.int32
 
 
+def skewed_texts(n, tokens, seed=5):
+    """Texts of words as frequent as a language's: few very often, most a few times."""
+    rng = np.random.default_rng(seed)
+    ranks = np.minimum(rng.zipf(1.3, (n, tokens)), 30_000)
+    return [(i, " ".join(f"w{r}" for r in row)) for i, row in enumerate(ranks.tolist())]
+
+
+def test_suffix_tree_keeps_and_moves_little(spark, monkeypatch):
+    """What stays in the shared folder: blocks and answers, no word hashes and no second copy of answers (disk)."""
+    folders = []
+    monkeypatch.setattr(suffix_tree, "scratch", lambda s, name: folders.append(scratch(s, name)) or folders[-1])
+    rows = skewed_texts(400, 1000)
+    assert suffix_tree.score(edge_docs(spark, rows)).count() == len(rows)
+    at = folders[0].removeprefix("file:")
+    kept = sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(at) for f in files)
+    assert kept < 1.9 * sum(len(t.split()) + 1 for _, t in rows)
+
+
+def test_suffix_tree_pairs_take_few_bytes():
+    """Keys of pairs are numbers that lie close together, not hashes, and a frequent context is dealt over ranges (disk)."""
+    block = suffix_tree.Block.of([(i, t, True) for i, t in skewed_texts(200, 1000)], pa.int64())
+    counts = np.bincount(block.codes, minlength=len(block.hashes))[block.order]
+    totals = suffix_tree.Totals(int(counts.sum()), len(counts), 0, 0, 20, ((0, -(-len(counts) // 20)),))
+    walk = suffix_tree.Walk(block, {0: (counts, None)}, totals, suffix_tree.Settings())
+    (level, keys, part, (found,)), = walk.run(1)
+    assert level == 1 and (np.diff(part) >= 0).all() and found.sum() == walk.candidate.sum()
+    assert len(np.unique(keys)) == len(keys) and np.bincount(part, minlength=20).max() < 0.2 * len(keys)
+    assert (keys[walk.pair_of] % totals.symbols == walk.symbol[block.codes[walk.at]]).all()
+    packets = suffix_tree.packet_rows(level, "b", keys, [found], part)
+    assert sum(len(r[3]) + len(r[4]) for r in packets) < 3.5 * len(keys)
+    assert np.array_equal(np.concatenate([suffix_tree.unpack_keys(r[3]) for r in packets]), keys.astype(np.uint64))
+
+
+def test_suffix_tree_blocks_come_back_whole(tmp_path):
+    rows = [(i, t, i % 3 > 0) for i, t in [*EDGE, *skewed_texts(20, 200)]]
+    block = suffix_tree.Block.of(rows, pa.int64())
+    for _ in range(2):  # a task that runs again
+        block.write(str(tmp_path), "b")
+    got = suffix_tree.Block.read(str(tmp_path), "b")
+    for name in ("codes", "lengths", "train", "order"):
+        assert np.array_equal(getattr(got, name), getattr(block, name)), name
+    assert got.ids.equals(block.ids) and [p.name for p in tmp_path.iterdir()] == ["b"]
+    assert (np.diff(block.hashes[got.order].astype(object)) > 0).all()
+
+
+def test_suffix_tree_many_blocks_and_ranges(spark, monkeypatch):
+    """Scores do not depend on how texts are cut into blocks and keys into ranges."""
+    rows = skewed_texts(150, 120)
+    s = suffix_tree.Settings(depth=3, min_symbol=2, min_context=3, min_gain=-20.0)
+    tree = PlainTree(rows, s)
+    monkeypatch.setattr(suffix_tree, "BLOCK_CHARS", 9_000)
+    monkeypatch.setattr(suffix_tree, "RANGE_BYTES", 2_500)
+    got = {g["doc_id"]: g["score"] for g in suffix_tree.score(edge_docs(spark, rows), settings=s).collect()}
+    assert any(len(c) == 3 for c in tree.states)
+    assert got == {i: pytest.approx(tree.score(t), abs=1e-9) for i, t in rows}
+
+
+def test_suffix_tree_refuses_numbers_that_do_not_fit():
+    with pytest.raises(ValueError, match="min_context"):
+        suffix_tree.Totals(1, 1, 0, 0, 2 ** 20, ((0, 2 ** 14),)).check_width(0)
+
+
 def test_suffix_tree_edge_rows(spark):
     got = suffix_tree.score(edge_docs(spark, [*EDGE, (None, "no id here")])).collect()
     assert len(got) == len(EDGE) + 1 and all(math.isfinite(g["score"]) for g in got)
