@@ -1,9 +1,13 @@
 """Suffix tree, toxicity, SimHash and the pipeline against plain versions."""
 
+import contextlib
+import glob
 import itertools
 import math
 import os
 import random
+import tempfile
+import time
 import zlib
 from collections import Counter
 
@@ -144,6 +148,31 @@ def test_suffix_tree_keeps_and_moves_little(spark, monkeypatch):
     assert kept < 1.9 * sum(len(t.split()) + 1 for _, t in rows)
 
 
+def test_suffix_tree_leaves_no_shuffles_and_no_setting(spark):
+    """Shuffle files of the levels are gone when the tree is built (those of the few sums may stay), and the
+    session's settings are as before (disk)."""
+    local = spark.sparkContext.getConf().get("spark.local.dir") or tempfile.gettempdir()
+
+    def files():
+        found = {}
+        for f in glob.glob(f"{local}/**/shuffle_*.data", recursive=True):
+            with contextlib.suppress(OSError):  # it goes meanwhile
+                found[f] = os.path.getsize(f)
+        return found
+
+    before, was = files(), spark.conf.get(suffix_tree._CLEANUP, None)
+    rows = skewed_texts(100, 1000)
+    scored = suffix_tree.score(edge_docs(spark, rows))
+    until = time.time() + 5
+    while (left := sum(n for f, n in files().items() if f not in before)) > 20_000 and time.time() < until:
+        time.sleep(0.2)  # they go shortly after their job
+    assert left <= 20_000 and spark.conf.get(suffix_tree._CLEANUP, None) == was
+    assert scored.count() == len(rows)
+    with pytest.raises(ZeroDivisionError), suffix_tree.shuffles_end(spark):
+        1 / 0
+    assert spark.conf.get(suffix_tree._CLEANUP, None) == was
+
+
 def test_suffix_tree_pairs_take_few_bytes():
     """Keys of pairs are numbers that lie close together, not hashes, and a frequent context is dealt over ranges (disk)."""
     block = suffix_tree.Block.of([(i, t, True) for i, t in skewed_texts(200, 1000)], pa.int64())
